@@ -11,6 +11,7 @@ from haulrate.functions import has_text, match_key
 from haulrate.operators.lookups import join_side
 from haulrate.operators.shipments import SLOTS, slot
 from haulrate.sources.cards import Card
+from haulrate.sources.shared import staged
 
 PARTS = ["title"] + [f"item{k}" for k in range(1, SLOTS + 1)]
 SEPARATOR = " / "
@@ -66,9 +67,10 @@ def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
 
 
 def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
+    df = staged(df)  # read once for its texts and once for the join
     texts = _texts()
     every = df.select(F.explode(F.array(*texts.values())).alias("text")).dropna().distinct()
-    hits = _text_hits(every, words)
+    hits = staged(_text_hits(every, words))  # joined to every part
     for part, text in texts.items():
         found = join_side(
             df.withColumn("text", text), hits, ["text"], small=False, limits=words.limits

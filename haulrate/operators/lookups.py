@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from haulrate.functions import match_key
 from haulrate.params import Limits
 from haulrate.sources.cards import Card
+from haulrate.sources.shared import staged
 
 ROW_ID = "packagematchid"
 SALT = "__salt"
@@ -116,7 +117,9 @@ def _band_join(
 
     A band is filed under its level, the power of two not below its width, and under the at
     most two cells of that size it touches. Each distinct value probes one cell per level.
+    The rows are read twice, for their values and for the join, so they are staged before.
     """
+    df = staged(df)
     size = F.pow(F.lit(2.0), F.col("__level"))
     width = F.greatest(F.col(hi).cast("double") - F.col(lo).cast("double"), F.lit(1.0))
     first, last = (F.floor(F.col(c).cast("double") / size) for c in (lo, hi))

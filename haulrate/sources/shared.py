@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -21,3 +21,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="haulrate-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder, for a frame that is read several times.
+
+    Unlike a cache it survives lost executors, and the plan behind it is not repeated.
+    """
+    path = shared_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulrate.sources.shared import shared_folder
+from haulrate.sources.shared import staged
 
 log = logging.getLogger(__name__)
 
@@ -70,17 +70,14 @@ def fan_out(df: DataFrame, targets: Sequence[Table], load=append) -> DataFrame:
     The source is read once, into a staged table, so that every target gets the same rows
     even if executors are lost in between. Returns target, rows and ok.
     """
-    spark = df.sparkSession
-    stage = Table("stage", options={"path": shared_folder(spark, "stage")})
-    full_refresh(df, stage)
-    staged = stage.read(spark)
-    rows = staged.count()
+    source = staged(df)
+    rows = source.count()
     status = []
     for target in targets:
         try:
-            load(staged, target)
+            load(source, target)
             status.append((target.name, rows, True))
         except Exception:
             log.exception("load into %s failed", target.name)
             status.append((target.name, 0, False))
-    return spark.createDataFrame(status, "target string, rows bigint, ok boolean")
+    return df.sparkSession.createDataFrame(status, "target string, rows bigint, ok boolean")
