@@ -35,14 +35,17 @@ def _texts() -> dict[str, Column]:
     return texts
 
 
-def _literal_hits(text: Column, rows: list[Row]) -> Column:
+def _literal_words(rows: list[Row]) -> Column:
     fields = ("id", "keyword", "needle", "difficulty_idx", "fragile_idx")
     types = dict(zip(fields, ("int", "string", "string", "double", "double")))
     ordered = sorted(rows, key=lambda row: row["id"])
-    card = F.array(
+    return F.array(
         *[F.struct(*[F.lit(row[f]).cast(types[f]).alias(f) for f in fields]) for row in ordered]
     )
-    return F.filter(card, lambda word: F.contains(text, word["needle"]))
+
+
+def _hits(text: Column, words: Column) -> Column:
+    return F.filter(words, lambda word: F.contains(text, word["needle"]))
 
 
 def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
@@ -58,9 +61,10 @@ def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
         return F.transform(starts, lambda at: F.substring(F.col("text"), at, F.lit(q)))
 
     pieces = F.array_distinct(F.concat(*[grams(q) for q in range(1, GRAM + 1)]))
-    probes = texts.select("text", F.explode(pieces).alias("gram"))
+    probes = texts.select("text", F.explode(pieces).alias("probe"))
+    gram = {"gram": F.col("probe")}
     met = join_side(
-        probes, sized, ["gram"], small=words.small, limits=words.limits, how="inner"
+        probes, sized, gram, small=words.small, limits=words.limits, how="inner"
     ).where(F.contains("text", "needle"))
     word = F.struct("id", "keyword", "needle", "difficulty_idx", "fragile_idx")
     return met.groupBy("text").agg(F.sort_array(F.collect_list(word)).alias("hits"))
@@ -72,10 +76,8 @@ def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
     every = df.select(F.explode(F.array(*texts.values())).alias("text")).dropna().distinct()
     hits = staged(_text_hits(every, words))  # joined to every part
     for part, text in texts.items():
-        found = join_side(
-            df.withColumn("text", text), hits, ["text"], small=False, limits=words.limits
-        )
-        df = found.withColumnRenamed("hits", f"{part}hits").drop("text")
+        found = hits.withColumnRenamed("hits", f"{part}hits")
+        df = join_side(df, found, {"text": text}, small=False, limits=words.limits)
     return df
 
 
@@ -105,9 +107,9 @@ def keyword_indexes(df: DataFrame, card: Card, passes: int = 3) -> DataFrame:
     """Add keyword text, difficulty and fragility of the title and of items 1 to 5."""
     words = keyword_rows(card)
     if words.literals is not None:
-        texts = _texts()
+        array = _literal_words(words.literals)
         df = df.withColumns(
-            {f"{part}hits": _literal_hits(text, words.literals) for part, text in texts.items()}
+            {f"{part}hits": _hits(text, array) for part, text in _texts().items()}
         )
     else:
         df = _joined_hits(df, words)

@@ -10,7 +10,9 @@ on key and salt, so that a key holding much of the data is spread over many task
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,20 +35,27 @@ def row_hash(df: DataFrame) -> Column:
 def join_side(
     df: DataFrame,
     side: DataFrame,
-    keys: Sequence[str],
+    on: Mapping[str, Column],
     *,
     small: bool,
     limits: Limits,
     how: str = "left",
 ) -> DataFrame:
-    """Join a side that has one row per key: broadcast if small, else salted and shuffled."""
-    keys = list(keys)
+    """Join a side that has one row per key: broadcast if small, else salted and shuffled.
+
+    ``on`` gives, for each key column of the side, the expression of ``df`` it must equal.
+    """
     if small:
-        return df.join(F.broadcast(side), keys, how)
-    salts = F.sequence(F.lit(0), F.lit(limits.salts - 1))
-    salted = df.withColumn(SALT, F.pmod(row_hash(df), F.lit(limits.salts)).cast("int"))
-    copies = side.withColumn(SALT, F.explode(salts))
-    return salted.join(copies, [*keys, SALT], how).drop(SALT)
+        side = F.broadcast(side)
+    else:
+        salts = F.sequence(F.lit(0), F.lit(limits.salts - 1))
+        side = side.withColumn(SALT, F.explode(salts))
+        df = df.withColumn(SALT, F.pmod(row_hash(df), F.lit(limits.salts)).cast("int"))
+        on = {**on, SALT: df[SALT]}
+    equal = reduce(and_, [value == side[key] for key, value in on.items()])
+    added = [side[name] for name in side.columns if name not in on]
+    joined = df.join(side, equal, how).select(df["*"], *added)
+    return joined if small else joined.drop(SALT)
 
 
 def _comparable(card: DataFrame, name: str, value: Column) -> Column:
@@ -82,14 +91,11 @@ def equi_lookup(
     side = one_per_key(
         side, keys, F.struct(*take), F.struct(*_tie(card.df), *take), name, card.small
     )
-    probe = {}
-    for key, (value, col) in zip(keys, on):
-        value = F.col(value) if isinstance(value, str) else value
-        probe[key] = _comparable(card.df, col, value)
-    found = join_side(
-        df.withColumns(probe), side, keys, small=card.small, limits=card.limits
-    )
-    return found.drop(*keys)
+    probe = {
+        key: _comparable(card.df, col, F.col(value) if isinstance(value, str) else value)
+        for key, (value, col) in zip(keys, on)
+    }
+    return join_side(df, side, probe, small=card.small, limits=card.limits)
 
 
 def band_lookup(
@@ -145,8 +151,7 @@ def _band_join(
         .groupBy("__value")
         .agg(F.min_by(name, "__order").alias(name))
     )
-    probe = df.withColumn("__value", F.col(value))
-    return join_side(probe, hits, ["__value"], small=False, limits=card.limits).drop("__value")
+    return join_side(df, hits, {"__value": F.col(value)}, small=False, limits=card.limits)
 
 
 def pair_band_lookup(
@@ -188,12 +193,8 @@ def pair_band_lookup(
         key: _comparable(card.df, col, F.col(left)) for key, (left, col) in zip(keys, on)
     }
     probe["__cell"] = F.floor(F.col(value) / width)
-    found = join_side(
-        df.withColumns(probe), side, [*keys, "__cell"], small=card.small, limits=card.limits
-    )
+    found = join_side(df, side, probe, small=card.small, limits=card.limits)
     inside = F.filter(
         "__bands", lambda band: F.col(value).between(band["__hi"] - width, band["__hi"])
     )
-    return found.withColumn(name, F.get(inside, F.lit(0))["__taken"]).drop(
-        *keys, "__cell", "__bands"
-    )
+    return found.withColumn(name, F.get(inside, F.lit(0))["__taken"]).drop("__bands")

@@ -96,7 +96,7 @@ def item_slots(items: DataFrame, n: int = SLOTS) -> DataFrame:
 
 def slot(k: int, field: str) -> Column:
     """A field of item k, NULL when the package has no such item."""
-    return F.get("slots", F.lit(k - 1))[field]
+    return F.expr(f"get(slots, {k - 1}).{field}")
 
 
 def slot_quantity(k: int) -> Column:
@@ -199,10 +199,13 @@ def shipment_base(facts: Facts, cards: Cards, p: Params) -> DataFrame:
     shipments = join_hot_keys(
         _deals(facts, p), _packages(facts, counts, p), "packageid", counts, "matched", p.limits
     )
-    users = Card.measured(facts.users, p.limits)
-    carriers = facts.users.select("userid", F.col("username").alias("carrier"))
+    users = Card(facts.users, p.limits)
+    carriers = facts.users.select(
+        F.col("userid").alias("carrierid"), F.col("username").alias("carrier")
+    )
+    key = {"carrierid": F.col("userid")}
     shipments = join_side(
-        shipments, carriers, ["userid"], small=users.small, limits=p.limits, how="inner"
+        shipments, carriers, key, small=users.small, limits=p.limits, how="inner"
     ).drop("userid")
     shipments = with_lagged_fuel(shipments, cards, p)
     for side in ("origin", "destination"):

@@ -2,57 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import cached_property, reduce
+from collections.abc import Callable, Mapping
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 from haulrate.params import Limits
-from haulrate.sources.schemas import CARD_DDL, schema_of
+from haulrate.sources.schemas import schema_of
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the declared columns, cast; a NULL in a NOT NULL column fails the job."""
     given = {name.lower(): name for name in df.columns}
 
-    def column(field: T.StructField) -> Column:
-        if field.name.lower() not in given:
+    def column(field: T.StructField) -> str:
+        kind, name = field.dataType.simpleString(), field.name
+        if name.lower() not in given:
             if not field.nullable:
-                raise ValueError(f"column {field.name!r} is required")
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        value = F.col(f"`{given[field.name.lower()]}`").cast(field.dataType)
+                raise ValueError(f"column {name!r} is required")
+            return f"cast(NULL AS {kind}) AS `{name}`"
+        value = f"cast(`{given[name.lower()]}` AS {kind})"
         if not field.nullable:
-            problem = F.raise_error(F.lit(f"NULL in column {field.name}"))
-            value = F.coalesce(value, problem.cast(field.dataType))
-        return value.alias(field.name)
+            value = f"coalesce({value}, raise_error('NULL in column {name}'))"
+        return f"{value} AS `{name}`"
 
-    return df.select(*[column(field) for field in schema.fields])
+    return df.selectExpr(*[column(field) for field in schema.fields])
 
 
 class Card:
-    """A table to look values up in, with the row count that decides how it may be joined."""
+    """A table to look values up in, measured on first use to decide how it may be joined."""
 
-    def __init__(self, df: DataFrame, rows: int, limits: Limits):
+    def __init__(self, df: DataFrame, limits: Limits, rows: int | None = None):
         self.df = df
-        self.rows = rows
         self.limits = limits
+        self._bound = rows
 
-    @classmethod
-    def measured(cls, df: DataFrame, limits: Limits) -> Card:
-        return cls(df, df.count(), limits)
+    @cached_property
+    def _head(self) -> list[Row]:
+        """The first rows, one more than may become literals."""
+        return self.df.limit(self.limits.literal_rows + 1).collect()
+
+    @property
+    def literals(self) -> list[Row] | None:
+        """The rows themselves if they are few enough to be written into the plan."""
+        return self._head if len(self._head) <= self.limits.literal_rows else None
+
+    @cached_property
+    def rows(self) -> int:
+        """The number of rows, or a bound known from the tables the card is made of."""
+        if self._bound is not None:
+            return self._bound
+        return len(self._head) if self.literals is not None else self.df.count()
 
     @property
     def small(self) -> bool:
         """Few enough rows to broadcast."""
         return self.rows <= self.limits.broadcast_rows
 
-    @cached_property
-    def literals(self) -> list[Row] | None:
-        """The rows themselves if they are few enough to be written into the plan."""
-        return self.df.collect() if self.rows <= self.limits.literal_rows else None
-
     @cached_property
     def single(self) -> Row | None:
         """The row of a table that holds at most one."""
@@ -63,33 +70,25 @@ class Card:
 
     def derive(self, df: DataFrame, *others: Card) -> Card:
         """A card made from this one (and others); their rows together bound its size."""
-        return Card(df, self.rows + sum(card.rows for card in others), self.limits)
+        return Card(df, self.limits, self.rows + sum(card.rows for card in others))
 
 
 class Cards:
-    """All rate cards of a run, by table name."""
+    """All rate cards of a run by table name, read and measured when a rule first uses them."""
 
-    def __init__(self, frames: Mapping[str, DataFrame], limits: Limits | None = None):
+    def __init__(
+        self, read: Callable[[str], DataFrame] | Mapping[str, DataFrame], limits: Limits | None = None
+    ):
         self.limits = limits or Limits()
-        self._frames = {
-            name.lower(): conform(df, schema_of(name.lower())) for name, df in frames.items()
-        }
+        self._read = read.__getitem__ if isinstance(read, Mapping) else read
         self._cards: dict[str, Card] = {}
 
     @classmethod
     def load(cls, spark: SparkSession, directory: str, limits: Limits | None = None) -> Cards:
-        """Read one Parquet table per card from a directory."""
-        frames = {name: spark.read.parquet(f"{directory}/{name}") for name in CARD_DDL}
-        return cls(frames, limits)
-
-    @cached_property
-    def _rows(self) -> dict[str, int]:
-        """Row count of every card, counted in one job."""
-        marks = [df.select(F.lit(name).alias("card")) for name, df in self._frames.items()]
-        counted = reduce(DataFrame.unionAll, marks).groupBy("card").count().collect()
-        return {row["card"]: row["count"] for row in counted}
+        """One Parquet table per card in a directory."""
+        return cls(lambda name: spark.read.parquet(f"{directory}/{name}"), limits)
 
     def __getitem__(self, name: str) -> Card:
         if name not in self._cards:
-            self._cards[name] = Card(self._frames[name], self._rows.get(name, 0), self.limits)
+            self._cards[name] = Card(conform(self._read(name), schema_of(name)), self.limits)
         return self._cards[name]

@@ -298,14 +298,14 @@ def _equi_lookup(b: Bench) -> DataFrame:
     parts = b.table("part").where(F.col("p_partkey") % 2 == 0)
     found = equi_lookup(
         b.table("lineitem"),
-        Card.measured(flags, b.limits),
+        Card(flags, b.limits),
         [("l_returnflag", "flag")],
         ["amount"],
         "flag",
     )
     found = equi_lookup(
         found,
-        Card.measured(parts, b.limits),
+        Card(parts, b.limits),
         [("l_partkey", "p_partkey")],
         ["p_name", "p_retailprice"],
         "part",
@@ -336,7 +336,7 @@ def _band_lookup(b: Bench) -> DataFrame:
     bands = b.spark.createDataFrame(rows, "id int, low int, high int, label string")
     found = band_lookup(
         b.table("lineitem"),
-        Card.measured(bands, b.limits),
+        Card(bands, b.limits),
         "l_extendedprice",
         "low",
         "high",
