@@ -32,6 +32,12 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(ROW_ID) if ROW_ID in df.columns else F.xxhash64(*df.columns)
 
 
+def with_salts(side: DataFrame, limits: Limits) -> DataFrame:
+    """Every row once per salt."""
+    salts = F.sequence(F.lit(0), F.lit(limits.salts - 1))
+    return side.withColumn(SALT, F.explode(salts))
+
+
 def join_side(
     df: DataFrame,
     side: DataFrame,
@@ -48,8 +54,7 @@ def join_side(
     if small:
         side = F.broadcast(side)
     else:
-        salts = F.sequence(F.lit(0), F.lit(limits.salts - 1))
-        side = side.withColumn(SALT, F.explode(salts))
+        side = side if SALT in side.columns else with_salts(side, limits)
         df = df.withColumn(SALT, F.pmod(row_hash(df), F.lit(limits.salts)).cast("int"))
         on = {**on, SALT: df[SALT]}
     equal = reduce(and_, [value == side[key] for key, value in on.items()])
@@ -69,7 +74,11 @@ def _tie(card: DataFrame) -> list[str]:
 def one_per_key(
     card: DataFrame, keys: Sequence[str], value: Column, order: Column, name: str, small: bool
 ) -> DataFrame:
-    """Reduce a card to the first row of each key by the given order."""
+    """Reduce a card to the first row of each key by the given order.
+
+    The reduction also tells Catalyst that keys are unique, so that it can drop the join where
+    nothing of the card is read.
+    """
     rows = card.select(*keys, value.alias(name), order.alias("__order")).dropna(subset=list(keys))
     if small:
         rows = rows.coalesce(1)  # already in one partition, so the reduction needs no shuffle
@@ -88,8 +97,11 @@ def equi_lookup(
     side = card.df.withColumns(
         {key: _comparable(card.df, col, F.col(col)) for key, (_, col) in zip(keys, on)}
     )
+    if not card.small:  # salted before the reduction, whose shuffle then serves the join too
+        side = with_salts(side, card.limits)
+    unique = keys if card.small else [*keys, SALT]
     side = one_per_key(
-        side, keys, F.struct(*take), F.struct(*_tie(card.df), *take), name, card.small
+        side, unique, F.struct(*take), F.struct(*_tie(card.df), *take), name, card.small
     )
     probe = {
         key: _comparable(card.df, col, F.col(value) if isinstance(value, str) else value)

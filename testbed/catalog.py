@@ -47,7 +47,7 @@ class Bench:
 
     @cached_property
     def facts(self) -> Facts:
-        return fact_tables.load(self.spark, self.sf_dir)
+        return fact_tables.load(self.spark, self.sf_dir, self.limits)
 
     @cached_property
     def cards(self) -> Cards:

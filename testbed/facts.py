@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from haulrate.operators.lookups import equi_lookup
+from haulrate.params import Limits
+from haulrate.sources.cards import Card
 from haulrate.sources.facts import Facts
 
 ITEM_ORDER = [
@@ -49,23 +52,22 @@ def _days_later(days: Column) -> Column:
     return F.col("o_orderdate") + F.make_dt_interval(days)
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def items(spark: SparkSession, sf_dir: str, limits: Limits) -> DataFrame:
     """Line items with their rank. A filter on the rank reaches the window, which then keeps
     only that many rows per order before the shuffle; unread columns cost nothing."""
-    line = table(spark, sf_dir, "lineitem")
     rank = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*ITEM_ORDER))
-    # One row per key, so that Catalyst drops the join where no part column is read.
-    part = table(spark, sf_dir, "part").groupBy("p_partkey")
-    part = part.agg(F.first("p_name").alias("p_name"), F.first("p_size").alias("p_size"))
-    joined = line.withColumn("rank", rank).join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    line = table(spark, sf_dir, "lineitem").select("*", rank.alias("rank"))
+    part = Card(table(spark, sf_dir, "part"), limits)
+    joined = equi_lookup(line, part, [("l_partkey", "p_partkey")], ["p_name", "p_size"], "part")
+    size = F.col("part.p_size")
     return joined.select(
         F.col("l_orderkey").alias("packageid"),
         "rank",
-        F.col("p_name").alias("title"),
+        F.col("part.p_name").alias("title"),
         (1 + F.col("l_quantity").cast("int") % 4).cast("string").alias("unitcount"),
-        (20 + 2 * F.col("p_size")).cast("string").alias("length"),
-        (10 + F.col("p_size")).cast("string").alias("height"),
-        (15 + F.col("p_size")).cast("string").alias("width"),
+        (20 + 2 * size).cast("string").alias("length"),
+        (10 + size).cast("string").alias("height"),
+        (15 + size).cast("string").alias("width"),
         (3 * F.col("l_quantity")).cast("string").alias("weight"),
     )
 
@@ -138,7 +140,7 @@ def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def load(spark: SparkSession, sf_dir: str) -> Facts:
+def load(spark: SparkSession, sf_dir: str, limits: Limits) -> Facts:
     order = table(spark, sf_dir, "orders")
     matches = _matches(spark, sf_dir)
     key = F.col("o_orderkey")
@@ -153,7 +155,7 @@ def load(spark: SparkSession, sf_dir: str) -> Facts:
             _days_later(F.lit(3)).alias("dateaccepted"),
             "bidvolumeusd",
         ),
-        items=items(spark, sf_dir),
+        items=items(spark, sf_dir, limits),
         tracking=matches.select("packagematchid", _days_later(F.lit(10)).alias("delivereddate")),
         revenue=matches.select("packagematchid", post.alias("nmr_post")),
         users=table(spark, sf_dir, "customer").select(
