@@ -57,11 +57,12 @@ def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
     sized = words.df.withColumn("gram", F.substring("needle", 1, GRAM))
 
     def grams(q: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length("text") - (q - 1), F.lit(1)))
-        return F.transform(starts, lambda at: F.substring(F.col("text"), at, F.lit(q)))
+        starts = F.sequence(F.lit(1), F.greatest(F.size("letters") - (q - 1), F.lit(1)))
+        return F.transform(starts, lambda at: F.array_join(F.slice("letters", at, q), ""))
 
     pieces = F.array_distinct(F.concat(*[grams(q) for q in range(1, GRAM + 1)]))
-    probes = texts.select("text", F.explode(pieces).alias("probe"))
+    letters = F.split("text", "").alias("letters")  # once, so that each piece is found in place
+    probes = texts.select("text", letters).select("text", F.explode(pieces).alias("probe"))
     gram = {"gram": F.col("probe")}
     met = join_side(
         probes, sized, gram, small=words.small, limits=words.limits, how="inner"
