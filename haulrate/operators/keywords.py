@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -18,13 +16,13 @@ SEPARATOR = " / "
 GRAM = 3
 
 
+FIELDS = ("id", "keyword", "needle", "difficulty_idx", "fragile_idx")
+
+
 def keyword_rows(card: Card) -> Card:
     """Keywords in load order with their indexes; a keyword without text matches nothing."""
-    needle = F.lower("keyword")
-    rows = card.df.where(F.length("keyword") > 0).select(
-        "id", "keyword", needle.alias("needle"), "difficulty_idx", "fragile_idx"
-    )
-    return card.derive(rows)
+    rows = card.df.where(F.length("keyword") > 0).withColumn("needle", F.lower("keyword"))
+    return card.derive(rows.select(*FIELDS))
 
 
 def _texts() -> dict[str, Column]:
@@ -36,18 +34,13 @@ def _texts() -> dict[str, Column]:
 
 
 def _literal_words(rows: list[Row]) -> Column:
-    fields = ("id", "keyword", "needle", "difficulty_idx", "fragile_idx")
-    types = dict(zip(fields, ("int", "string", "string", "double", "double")))
+    types = dict(zip(FIELDS, ("int", "string", "string", "double", "double")))
     ordered = sorted(rows, key=lambda row: row["id"])
     return F.array(
-        *[F.struct(*[F.lit(row[f]).cast(types[f]).alias(f) for f in fields]) for row in ordered]
+        *[F.struct(*[F.lit(row[f]).cast(types[f]).alias(f) for f in FIELDS]) for row in ordered]
     )
 
 
-def _hits(text: Column, words: Column) -> Column:
-    return F.filter(words, lambda word: F.contains(text, word["needle"]))
-
-
 def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
     """Keywords of each distinct text, for a keyword list of any size.
 
@@ -67,11 +60,12 @@ def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
     met = join_side(
         probes, sized, gram, small=words.small, limits=words.limits, how="inner"
     ).where(F.contains("text", "needle"))
-    word = F.struct("id", "keyword", "needle", "difficulty_idx", "fragile_idx")
+    word = F.struct(*FIELDS)
     return met.groupBy("text").agg(F.sort_array(F.collect_list(word)).alias("hits"))
 
 
 def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
+    """Add the keywords of every part, as array ``hits`` in the order of PARTS."""
     df = staged(df)  # read once for its texts and once for the join
     texts = _texts()
     every = df.select(F.explode(F.array(*texts.values())).alias("text")).dropna().distinct()
@@ -79,25 +73,24 @@ def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
     for part, text in texts.items():
         found = hits.withColumnRenamed("hits", f"{part}hits")
         df = join_side(df, found, {"text": text}, small=False, limits=words.limits)
-    return df
+    names = [f"{part}hits" for part in PARTS]
+    return df.withColumn("hits", F.array(*names)).drop(*names)
 
 
 def _joined_keywords(hits: Column, passes: int) -> Column:
     """The matches in load order, joined as repeated passes over the list append them.
 
-    Each pass appends a keyword unless the text so far is exactly that keyword, so with the
-    usual three passes every match after the first appears three times.
+    A pass appends a keyword unless the text so far is exactly that keyword. So the first one
+    stands once, and with three passes every later one three times.
     """
 
-    def step(text: Column, word: Column) -> Column:
+    def step(text: Column, hit: Column) -> Column:
+        word = hit["keyword"]
         append = has_text(text) & (match_key(text) != match_key(word))
-        return F.when(append, F.concat(text, F.lit(SEPARATOR), word)).otherwise(word)
+        again = F.repeat(F.concat(F.lit(SEPARATOR), word), F.lit(passes))
+        return F.when(append, F.concat(text, again)).otherwise(word)
 
-    return F.aggregate(
-        hits,
-        F.lit(None).cast("string"),
-        lambda text, hit: reduce(lambda acc, _: step(acc, hit["keyword"]), range(passes), text),
-    )
+    return F.aggregate(hits, F.lit(None).cast("string"), step)
 
 
 def _highest(hits: Column, field: str) -> Column:
@@ -109,18 +102,32 @@ def keyword_indexes(df: DataFrame, card: Card, passes: int = 3) -> DataFrame:
     words = keyword_rows(card)
     if words.literals is not None:
         array = _literal_words(words.literals)
-        df = df.withColumns(
-            {f"{part}hits": _hits(text, array) for part, text in _texts().items()}
-        )
+
+        def hits_of(text: Column) -> Column:
+            return F.filter(array, lambda word: F.contains(text, word["needle"]))
+
+        # Lambda variables hold each text, and below its matches, so that both are made once.
+        hits = F.transform(F.array(*_texts().values()), hits_of)
     else:
         df = _joined_hits(df, words)
-    columns = {}
-    for part in PARTS:
-        hits = F.col(f"{part}hits")
-        columns[f"{part}keyword"] = _joined_keywords(hits, passes)
-        columns[f"{part}diff"] = _highest(hits, "difficulty_idx")
-        columns[f"{part}frag"] = _highest(hits, "fragile_idx")
-    return df.withColumns(columns).drop(*[f"{part}hits" for part in PARTS])
+        hits = F.col("hits")
+
+    def indexes(found: Column) -> Column:
+        return F.struct(
+            _joined_keywords(found, passes).alias("keyword"),
+            _highest(found, "difficulty_idx").alias("diff"),
+            _highest(found, "fragile_idx").alias("frag"),
+        )
+
+    df = df.withColumn("hits", F.transform(hits, indexes))
+    return df.select(
+        *[name for name in df.columns if name != "hits"],
+        *[
+            F.expr(f"hits[{i}].{kind} AS {part}{kind}")
+            for i, part in enumerate(PARTS)
+            for kind in ("keyword", "diff", "frag")
+        ],
+    )
 
 
 def difficulty_index(df: DataFrame) -> DataFrame:
