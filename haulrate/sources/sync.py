@@ -45,7 +45,8 @@ def extract(spark: SparkSession, table: Table, query: str | None = None) -> Data
 
 def pivot_fuel(feed: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
     """One row per date of the last days with the gas and diesel price as columns."""
-    recent = feed.where(F.col("date") > F.lit(as_of - timedelta(days=days)))
+    start = F.lit((as_of - timedelta(days=days)).isoformat(sep=" ")).cast("timestamp_ntz")
+    recent = feed.where(F.col("date") > start)
     prices = [
         F.max(F.when(F.col("type") == series, F.col("ppg"))).alias(name)
         for name, series in FUEL_SERIES.items()

@@ -31,7 +31,7 @@ def upsert(
     if not repeated.join(target.select(*keys), keys, "left_semi").isEmpty():
         raise ValueError(f"several source rows match one target row on {keys}")
 
-    stamp = F.lit(now)
+    stamp = F.lit(now.isoformat(sep=" "))
     hit = F.col(NEW).isNotNull()
 
     def merged(name: str) -> Column:

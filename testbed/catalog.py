@@ -17,8 +17,15 @@ from haulrate.plans import pricing
 from haulrate.sources.cards import Card, Cards
 from haulrate.sources.facts import Facts
 from haulrate.sources.shared import shared_folder
-from haulrate.sources.sync import FUEL_SERIES, Table, append, extract, fan_out, full_refresh
-from haulrate.sources.sync import pivot_fuel
+from haulrate.sources.sync import (
+    FUEL_SERIES,
+    Table,
+    append,
+    extract,
+    fan_out,
+    full_refresh,
+    pivot_fuel,
+)
 from haulrate.sources.upsert import upsert
 from testbed import cards as card_rows
 from testbed import facts as fact_tables
@@ -93,14 +100,16 @@ class Bench:
     def stored(self, name: str) -> Table:
         return Table(name, options={"path": shared_folder(self.spark, name)})
 
-    def current_parts(self) -> DataFrame:
-        part = self.table("part").where(F.col("p_partkey") % 2 == 0)
-        return part.select("p_partkey", "p_name", "p_retailprice")
+    def parts(self, dearer: float = 0.0) -> DataFrame:
+        price = F.col("p_retailprice") + dearer
+        return self.table("part").select("p_partkey", "p_name", price.alias("p_retailprice"))
 
-    def offered_parts(self) -> DataFrame:
-        part = self.table("part").where(F.col("p_partkey") % 3 == 0)
-        return part.select(
-            "p_partkey", "p_name", (F.col("p_retailprice") + 100.0).alias("p_retailprice")
+    def offers(self) -> DataFrame:
+        """Customers as rows of the part table: their tripled keys are partly new to it."""
+        return self.table("customer").select(
+            (F.col("c_custkey") * 3).alias("p_partkey"),
+            F.col("c_name").alias("p_name"),
+            F.col("c_acctbal").alias("p_retailprice"),
         )
 
 
@@ -249,21 +258,21 @@ def _fuel_feed_pivot(b: Bench) -> DataFrame:
 
 def _append_load(b: Bench) -> DataFrame:
     target = b.stored("append_load")
-    full_refresh(b.current_parts(), target)
-    append(b.offered_parts(), target)
+    full_refresh(b.parts(), target)
+    append(b.parts(dearer=100.0), target)
     return extract(b.spark, target)
 
 
 def _full_refresh(b: Bench) -> DataFrame:
     target = b.stored("full_refresh")
-    full_refresh(b.current_parts(), target)
-    full_refresh(b.offered_parts(), target)
+    full_refresh(b.parts(), target)
+    full_refresh(b.parts(dearer=100.0), target)
     return extract(b.spark, target)
 
 
 def _fan_out_load(b: Bench) -> DataFrame:
     targets = [b.stored(name) for name in ENVIRONMENTS]
-    status = fan_out(b.offered_parts(), targets, full_refresh)
+    status = fan_out(b.parts(), targets, full_refresh)
     loaded = None
     for target in targets:
         rows = extract(b.spark, target).select(
@@ -275,13 +284,13 @@ def _fan_out_load(b: Bench) -> DataFrame:
 
 def _ratecard_upsert(b: Bench) -> DataFrame:
     """At table size, with the target as it was stored a month ago."""
-    then = F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz")
+    then = F.lit("2024-01-01").cast("timestamp_ntz")
     current = b.stored("ratecard")
-    full_refresh(b.current_parts().withColumns(
-        {"datecreatedutc": then, "dateupdatedutc": then}), current)
+    stamped = b.parts().withColumns({"datecreatedutc": then, "dateupdatedutc": then})
+    full_refresh(stamped, current)
     merged = upsert(
         extract(b.spark, current),
-        b.offered_parts(),
+        b.offers(),
         ["p_partkey"],
         ["p_name", "p_retailprice"],
         datetime(2024, 2, 1),
@@ -292,10 +301,10 @@ def _ratecard_upsert(b: Bench) -> DataFrame:
 
 
 def _equi_lookup(b: Bench) -> DataFrame:
-    """Every line item: a miss keeps the old value or overwrites it; and its part, if even."""
+    """Every line item: a miss keeps the old value or overwrites it; and the part of half its key."""
     rows = [(1, "a", 1.5), (2, "A ", 2.5), (3, "r", None)]
     flags = b.spark.createDataFrame(rows, "id int, flag string, amount double")
-    parts = b.table("part").where(F.col("p_partkey") % 2 == 0)
+    parts = b.table("part").withColumn("doubled", F.col("p_partkey") * 2)
     found = equi_lookup(
         b.table("lineitem"),
         Card(flags, b.limits),
@@ -306,7 +315,7 @@ def _equi_lookup(b: Bench) -> DataFrame:
     found = equi_lookup(
         found,
         Card(parts, b.limits),
-        [("l_partkey", "p_partkey")],
+        [("l_partkey", "doubled")],
         ["p_name", "p_retailprice"],
         "part",
     )

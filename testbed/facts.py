@@ -19,7 +19,8 @@ ITEM_ORDER = [
 
 # Columns of the test tables that are read.
 TABLE_DDL = {
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
     "supplier": "s_suppkey bigint, s_nationkey int",
     "part": "p_partkey bigint, p_name string, p_size int, p_retailprice double",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "

@@ -523,9 +523,9 @@ def _terms(part: str, columns: str) -> str:
     return f"select packagematchid, {columns} from {part}"
 
 
-_KEPT = """select p_partkey, p_name, p_retailprice from part where p_partkey % 2 = 0"""
-_OFFERED = """select p_partkey, p_name, p_retailprice + 100::double as p_retailprice
-    from part where p_partkey % 3 = 0"""
+_PARTS_NOW = "select p_partkey, p_name, p_retailprice from part"
+_PARTS_DEARER = """select p_partkey, p_name, p_retailprice + 100::double as p_retailprice
+    from part"""
 
 BODIES = {
     "package_quantity": "select packageid, qty from quantity",
@@ -612,14 +612,16 @@ BODIES = {
                max(case when event_type = 'click' then value end) as diesel
         from events where cast(ts as date) > timestamp '2024-01-31' - interval 7 day
         group by 1""",
-    "append_load": f"{_KEPT} union all {_OFFERED}",
-    "full_refresh": _OFFERED,
+    "append_load": f"{_PARTS_NOW} union all {_PARTS_DEARER}",
+    "full_refresh": _PARTS_DEARER,
     "fan_out_load": f"""
-        with offered as ({_OFFERED}), counts as (select count(*) as rows from offered)
+        with loaded as ({_PARTS_NOW}), counts as (select count(*) as rows from loaded)
         select target, rows, true as ok, p_partkey, p_retailprice
-        from (values ('dev'), ('qa'), ('sand'), ('prod')) t(target), counts, offered""",
+        from (values ('dev'), ('qa'), ('sand'), ('prod')) t(target), counts, loaded""",
     "ratecard_upsert": f"""
-        with kept as ({_KEPT}), offered as ({_OFFERED})
+        with kept as ({_PARTS_NOW}),
+        offered as (select 3 * c_custkey as p_partkey, c_name as p_name,
+                           c_acctbal as p_retailprice from customer)
         select coalesce(k.p_partkey, n.p_partkey) as p_partkey,
                case when n.p_partkey is null then k.p_name else n.p_name end as p_name,
                case when n.p_partkey is null then k.p_retailprice else n.p_retailprice end
@@ -639,7 +641,7 @@ BODIES = {
                f.amount::double as overwritten, p.p_name as part_name, p.p_retailprice as price
         from lineitem
         left join first_marks f on lower(l_returnflag) = lower(f.flag)
-        left join part p on l_partkey = p_partkey and p_partkey % 2 = 0""",
+        left join part p on l_partkey = 2 * p_partkey""",
     "band_lookup": """
         with bands(id, low, high, label) as (values
             (1, 0, 20000, 'small'), (2, 20000, 50000, 'middle'), (3, 15000, 30000, 'mixed'),

@@ -9,6 +9,7 @@ from haulrate.plans import backtest
 from haulrate.sources.cards import Cards, conform
 from haulrate.sources.facts import Facts
 from haulrate.sources.schemas import CARD_DDL, FACT_DDL, SPARE_CARD_DDL, schema_of
+from haulrate.sources.seeds import SIZE_RATING_VALUES, size_ratings
 from haulrate.sources.shared import shared_folder
 from haulrate.sources.sync import Table, append, extract, fan_out, full_refresh, pivot_fuel
 from haulrate.sources.upsert import upsert
@@ -24,7 +25,7 @@ def rows(df):
     return sorted(map(tuple, df.collect()))
 
 
-def test_every_declared_schema_parses():
+def test_every_declared_schema_parses(spark):
     for name in [*CARD_DDL, *SPARE_CARD_DDL, *FACT_DDL]:
         assert len(schema_of(name)) > 0
 
@@ -88,16 +89,12 @@ def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark, "x").startswith(root)
 
 
-SEEDS = [(0, 0.0, 0.0), (1, 0.0, 0.1), (2, 0.0, 0.18)]
-VALUES = ["bb_surcharged", "bb_surchargep"]
-
-
 def test_upsert_updates_inserts_and_keeps(spark):
     then, now = datetime(2023, 1, 1), datetime(2024, 1, 1)
     schema = schema_of("bb_v6")
     target = spark.createDataFrame([(1, 5.0, 5.0, then, then), (9, 9.0, 9.0, then, then)], schema)
-    source = spark.createDataFrame(SEEDS, "bb_rating int, bb_surcharged double, bb_surchargep double")
-    once = upsert(target, source, ["bb_rating"], VALUES, now)
+    source = size_ratings(spark)
+    once = upsert(target, source, ["bb_rating"], SIZE_RATING_VALUES, now)
     expected = [
         (0, 0.0, 0.0, now, now),
         (1, 0.0, 0.1, then, now),
@@ -106,7 +103,7 @@ def test_upsert_updates_inserts_and_keeps(spark):
     ]
     assert once.schema.names == schema.names
     assert rows(once) == expected
-    assert rows(upsert(once, source, ["bb_rating"], VALUES, now)) == expected
+    assert rows(upsert(once, source, ["bb_rating"], SIZE_RATING_VALUES, now)) == expected
 
 
 def test_upsert_rejects_two_rows_for_one_target_row_only(spark):
