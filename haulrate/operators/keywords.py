@@ -15,14 +15,20 @@ PARTS = ["title"] + [f"item{k}" for k in range(1, SLOTS + 1)]
 SEPARATOR = " / "
 GRAM = 3
 
-
-FIELDS = ("id", "keyword", "needle", "difficulty_idx", "fragile_idx")
+FIELDS = ("keyword", "needle", "difficulty_idx", "fragile_idx")
+WORDS = "array<struct<keyword:string,needle:string,difficulty_idx:double,fragile_idx:double>>"
 
 
 def keyword_rows(card: Card) -> Card:
-    """Keywords in load order with their indexes; a keyword without text matches nothing."""
-    rows = card.df.where(F.length("keyword") > 0).withColumn("needle", F.lower("keyword"))
-    return card.derive(rows.select(*FIELDS))
+    """Keywords with their indexes; a keyword without text matches nothing, and as indexes
+    never count below 0, a missing one is 0."""
+    rows = card.df.where(F.length("keyword") > 0).select(
+        "id",
+        "keyword",
+        F.lower("keyword").alias("needle"),
+        *[F.coalesce(index, F.lit(0.0)).alias(index) for index in FIELDS[2:]],
+    )
+    return card.derive(rows)
 
 
 def _texts() -> dict[str, Column]:
@@ -34,11 +40,19 @@ def _texts() -> dict[str, Column]:
 
 
 def _literal_words(rows: list[Row]) -> Column:
-    types = dict(zip(FIELDS, ("int", "string", "string", "double", "double")))
+    """The keywords in load order, as an array that Catalyst folds to one constant.
+
+    Texts are written as bytes, so that nothing in them has a meaning for the parser.
+    """
+
+    def literal(value: str | float) -> str:
+        if isinstance(value, str):
+            return f"cast(X'{value.encode().hex()}' AS string)"
+        return f"cast('{value!r}' AS double)"
+
     ordered = sorted(rows, key=lambda row: row["id"])
-    return F.array(
-        *[F.struct(*[F.lit(row[f]).cast(types[f]).alias(f) for f in FIELDS]) for row in ordered]
-    )
+    words = [", ".join(f"'{f}', {literal(row[f])}" for f in FIELDS) for row in ordered]
+    return F.expr(f"cast(array({', '.join(f'named_struct({word})' for word in words)}) AS {WORDS})")
 
 
 def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
@@ -60,7 +74,7 @@ def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
     met = join_side(
         probes, sized, gram, small=words.small, limits=words.limits, how="inner"
     ).where(F.contains("text", "needle"))
-    word = F.struct(*FIELDS)
+    word = F.struct("id", *FIELDS)
     return met.groupBy("text").agg(F.sort_array(F.collect_list(word)).alias("hits"))
 
 
@@ -100,8 +114,9 @@ def _highest(hits: Column, field: str) -> Column:
 def keyword_indexes(df: DataFrame, card: Card, passes: int = 3) -> DataFrame:
     """Add keyword text, difficulty and fragility of the title and of items 1 to 5."""
     words = keyword_rows(card)
-    if words.literals is not None:
-        array = _literal_words(words.literals)
+    rows = words.rows_if_at_most(words.limits.keyword_rows)
+    if rows is not None:
+        array = _literal_words(rows)
 
         def hits_of(text: Column) -> Column:
             return F.filter(array, lambda word: F.contains(text, word["needle"]))

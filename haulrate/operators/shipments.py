@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from haulrate.functions import contains_text, match_key, zip5
 from haulrate.operators.fuel import with_lagged_fuel
 from haulrate.operators.joins import join_hot_keys
-from haulrate.operators.lookups import equi_lookup, join_side
+from haulrate.operators.lookups import equi_lookup
 from haulrate.params import Params
 from haulrate.sources.cards import Card, Cards
 from haulrate.sources.facts import Facts
@@ -193,20 +193,25 @@ def _packages(facts: Facts, counts: DataFrame, p: Params) -> DataFrame:
     return joined.withColumn("totalqty", quantity).drop("countable", "units")
 
 
+def _with_carrier(shipments: DataFrame, facts: Facts, p: Params) -> DataFrame:
+    """Add the carrier's name; a shipment without one is dropped."""
+    users = facts.users.select("userid", F.col("username").alias("carrier"))
+    if Card(facts.users, p.limits).small:
+        joined = shipments.join(F.broadcast(users), "userid")
+    else:
+        counts = matched_bids(facts.bids).groupBy("userid").agg(F.count("*").alias("deals"))
+        users = users.join(counts, "userid")
+        joined = join_hot_keys(shipments, users, "userid", counts, "deals", p.limits)
+    return joined.drop("userid")
+
+
 def shipment_base(facts: Facts, cards: Cards, p: Params) -> DataFrame:
     """One row per matched bid of the partner's delivered shipments."""
     counts = bid_counts(facts.bids)
     shipments = join_hot_keys(
         _deals(facts, p), _packages(facts, counts, p), "packageid", counts, "matched", p.limits
     )
-    users = Card(facts.users, p.limits)
-    carriers = facts.users.select(
-        F.col("userid").alias("carrierid"), F.col("username").alias("carrier")
-    )
-    key = {"carrierid": F.col("userid")}
-    shipments = join_side(
-        shipments, carriers, key, small=users.small, limits=p.limits, how="inner"
-    ).drop("userid")
+    shipments = _with_carrier(shipments, facts, p)
     shipments = with_lagged_fuel(shipments, cards, p)
     for side in ("origin", "destination"):
         shipments = equi_lookup(

@@ -38,22 +38,22 @@ class Card:
         self.limits = limits
         self._bound = rows
 
-    @cached_property
-    def _head(self) -> list[Row]:
-        """The first rows, one more than may become literals."""
-        return self.df.limit(self.limits.literal_rows + 1).collect()
+    def rows_if_at_most(self, most: int) -> list[Row] | None:
+        """The rows themselves, or None if there are more."""
+        rows = self.df.limit(most + 1).collect()
+        return rows if len(rows) <= most else None
 
-    @property
+    @cached_property
     def literals(self) -> list[Row] | None:
         """The rows themselves if they are few enough to be written into the plan."""
-        return self._head if len(self._head) <= self.limits.literal_rows else None
+        return self.rows_if_at_most(self.limits.literal_rows)
 
     @cached_property
     def rows(self) -> int:
         """The number of rows, or a bound known from the tables the card is made of."""
         if self._bound is not None:
             return self._bound
-        return len(self._head) if self.literals is not None else self.df.count()
+        return len(self.literals) if self.literals is not None else self.df.count()
 
     @property
     def small(self) -> bool:
@@ -63,8 +63,8 @@ class Card:
     @cached_property
     def single(self) -> Row | None:
         """The row of a table that holds at most one."""
-        rows = self.df.limit(2).collect()
-        if len(rows) > 1:
+        rows = self.rows_if_at_most(1)
+        if rows is None:
             raise ValueError(f"expected at most one row in card {self.df.columns}")
         return rows[0] if rows else None
 

@@ -8,7 +8,7 @@ from haulrate import Limits
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 # Every table too large to broadcast, every card too large for literals, every key hot.
-FORCED = Limits(broadcast_rows=0, literal_rows=0, salts=4, hot_rows=1)
+FORCED = Limits(broadcast_rows=0, literal_rows=0, keyword_rows=0, salts=4, hot_rows=1)
 
 
 @pytest.fixture(scope="session")
