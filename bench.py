@@ -55,7 +55,8 @@ def join_per_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = [row for row in bench.cards["furniture_indexes"].literals if row.keyword]
     df = bench.base.withColumns({f"{part}diff": F.lit(0.0) for part in PARTS})
     for word in words:
-        one = spark.createDataFrame([(word.keyword.lower(), word.difficulty_idx)], "w string, d double")
+        row = (word.keyword.lower(), word.difficulty_idx)
+        one = spark.createDataFrame([row], "w string, d double")
         for k, part in enumerate(PARTS):
             text = F.lower("title") if k == 0 else F.lower(F.expr(f"get(slots, {k - 1}).title"))
             df = df.join(F.broadcast(one), F.contains(text, F.col("w")), "left")

@@ -35,8 +35,7 @@ def msa_by_zip(cards: Cards) -> Card:
                 card.small,
             )
         )
-    inside, near = (side.select("zip", "area", F.lit(i).alias("side")) for i, side in enumerate(sides))
-    both = inside.unionAll(near)
+    both = sides[0].withColumn("side", F.lit(0)).unionAll(sides[1].withColumn("side", F.lit(1)))
     if primary.small and closest.small:
         both = both.coalesce(1)
     pick = [F.max(F.when(F.col("side") == i, F.col("area"))).alias(f"area{i}") for i in (0, 1)]

@@ -86,7 +86,11 @@ def one_per_key(
 
 
 def equi_lookup(
-    df: DataFrame, card: Card, on: Sequence[tuple[str | Column, str]], take: Sequence[str], name: str
+    df: DataFrame,
+    card: Card,
+    on: Sequence[tuple[str | Column, str]],
+    take: Sequence[str],
+    name: str,
 ) -> DataFrame:
     """Add struct ``name`` with the columns ``take`` of the card row whose keys are equal.
 

@@ -77,7 +77,9 @@ class Cards:
     """All rate cards of a run by table name, read and measured when a rule first uses them."""
 
     def __init__(
-        self, read: Callable[[str], DataFrame] | Mapping[str, DataFrame], limits: Limits | None = None
+        self,
+        read: Callable[[str], DataFrame] | Mapping[str, DataFrame],
+        limits: Limits | None = None,
     ):
         self.limits = limits or Limits()
         self._read = read.__getitem__ if isinstance(read, Mapping) else read

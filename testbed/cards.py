@@ -62,9 +62,8 @@ def _lane_rates() -> list[dict]:
             if (o + d) % 2 == 1:
                 for k in range(1, 69):
                     for high, flat in ((50 * k, 80.0), (50 * k + 10, 75.0)):
-                        rows.append(
-                            {"omsa": _msa(o), "dmsa": _msa(d), "maxmiles": high, "rate": flat + 20 * k}
-                        )
+                        lane = {"omsa": _msa(o), "dmsa": _msa(d)}
+                        rows.append({**lane, "maxmiles": high, "rate": flat + 20 * k})
     return rows
 
 
@@ -75,7 +74,10 @@ def _rows(names: str, *values: tuple) -> list[dict]:
 def card_rows() -> dict[str, list[dict]]:
     """Rows of every card; ``id`` is added in the order given here."""
     area_amounts = _rows(
-        "msa surchargep surcharged", ("MSA 1", 0.05, 0.0), ("MSA 3", 0.0, 20.0), ("MSA 5", 0.02, 0.0)
+        "msa surchargep surcharged",
+        ("MSA 1", 0.05, 0.0),
+        ("MSA 3", 0.0, 20.0),
+        ("MSA 5", 0.02, 0.0),
     )
     primary = [
         {"zipcode": _zip(n), "msa_name": _msa(n % 8) if n % 3 else "", "primaryrecord": "P"}

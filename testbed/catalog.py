@@ -163,7 +163,10 @@ def _size_rating(b: Bench) -> DataFrame:
 
 def _price_per_mile_outlier(b: Bench) -> DataFrame:
     return _of_shipments(
-        shipments.price_per_mile_outlier(b.base), "mileage", "matchprice", "match_price_out_of_range"
+        shipments.price_per_mile_outlier(b.base),
+        "mileage",
+        "matchprice",
+        "match_price_out_of_range",
     )
 
 
@@ -301,7 +304,8 @@ def _ratecard_upsert(b: Bench) -> DataFrame:
 
 
 def _equi_lookup(b: Bench) -> DataFrame:
-    """Every line item: a miss keeps the old value or overwrites it; and the part of half its key."""
+    """Every line item: a miss keeps the old value or overwrites it; and the part of half its
+    key."""
     rows = [(1, "a", 1.5), (2, "A ", 2.5), (3, "r", None)]
     flags = b.spark.createDataFrame(rows, "id int, flag string, amount double")
     parts = b.table("part").withColumn("doubled", F.col("p_partkey") * 2)
