@@ -196,7 +196,7 @@ def _packages(facts: Facts, counts: DataFrame, p: Params) -> DataFrame:
 def _with_carrier(shipments: DataFrame, facts: Facts, p: Params) -> DataFrame:
     """Add the carrier's name; a shipment without one is dropped."""
     users = facts.users.select("userid", F.col("username").alias("carrier"))
-    if Card(facts.users, p.limits).small:
+    if Card(facts.users, p.limits, facts.users.count()).small:
         joined = shipments.join(F.broadcast(users), "userid")
     else:
         counts = matched_bids(facts.bids).groupBy("userid").agg(F.count("*").alias("deals"))

@@ -58,7 +58,8 @@ def items(spark: SparkSession, sf_dir: str, limits: Limits) -> DataFrame:
     only that many rows per order before the shuffle; unread columns cost nothing."""
     rank = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*ITEM_ORDER))
     line = table(spark, sf_dir, "lineitem").select("*", rank.alias("rank"))
-    part = Card(table(spark, sf_dir, "part"), limits)
+    part = table(spark, sf_dir, "part")
+    part = Card(part, limits, part.count())
     joined = equi_lookup(line, part, [("l_partkey", "p_partkey")], ["p_name", "p_size"], "part")
     size = F.col("part.p_size")
     return joined.select(
