@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,23 +11,39 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path below the session's checkpoint folder.
+    """A new path below the session's checkpoint folder, removed when the session's JVM ends.
 
-    Only a local session without that setting gets a folder of this machine.
+    A session whose executors are threads of one JVM may leave the setting out: it then uses
+    its warehouse folder.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="haulrate-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _file_system(spark, path).deleteOnExit(_path(spark, path))
+    return path
 
 
-def staged(df: DataFrame) -> DataFrame:
+def remove_staged(spark: SparkSession, path: str) -> None:
+    """Removes a path that ``shared_folder`` gave, once nothing reads it any more."""
+    _file_system(spark, path).delete(_path(spark, path), True)
+
+
+def staged(df: DataFrame, purpose: str = "stage") -> DataFrame:
     """The rows written once to the shared folder, for a frame that is read several times.
 
     Unlike a cache it survives lost executors, and the plan behind it is not repeated.
     """
-    path = shared_folder(df.sparkSession, "stage")
+    path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
