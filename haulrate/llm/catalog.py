@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulrate.llm import exact_dedup, secret_scan, url_filter
+from haulrate.llm import exact_dedup, pieces, secret_scan, url_filter
 from haulrate.llm.common import documents, table
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_rows(documents(spark, sf_dir))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(documents(spark, sf_dir), public_tokenizers.path(PIECE_MODEL))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"))
 
@@ -22,6 +29,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_url_filters": op4_url_filters,
     "op9_secret_scans": op9_secret_scans,
 }
