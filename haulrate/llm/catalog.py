@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulrate.llm import exact_dedup, pieces, secret_scan, url_filter
+from haulrate.llm import exact_dedup, pieces, secret_scan, toxicity, url_filter
 from haulrate.llm.common import documents, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -15,6 +15,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_rows(documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(documents(spark, sf_dir), public_tokenizers.path(PIECE_MODEL))
 
@@ -29,6 +34,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_url_filters": op4_url_filters,
     "op9_secret_scans": op9_secret_scans,
