@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulrate.llm import exact_dedup, pieces, secret_scan, toxicity, url_filter
+from haulrate.llm import exact_dedup, packing, pieces, quality, secret_scan, toxicity, url_filter
 from haulrate.llm.common import documents, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -28,6 +28,14 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
 
@@ -37,6 +45,8 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_url_filters": op4_url_filters,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scans": op9_secret_scans,
 }
 
