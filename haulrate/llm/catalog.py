@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulrate.llm import exact_dedup, packing, pieces, quality, secret_scan, toxicity, url_filter
+from haulrate.llm import exact_dedup, fingerprints, packing, pieces, quality, secret_scan, toxicity, url_filter
 from haulrate.llm.common import documents, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -32,6 +32,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(documents(spark, sf_dir))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_url_filters": op4_url_filters,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scans": op9_secret_scans,
 }
