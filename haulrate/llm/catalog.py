@@ -5,7 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulrate.llm import exact_dedup, fingerprints, packing, pieces, quality, secret_scan, toxicity, url_filter
+from haulrate.llm import (
+    exact_dedup,
+    fingerprints,
+    jaccard_join,
+    packing,
+    pieces,
+    quality,
+    secret_scan,
+    toxicity,
+    url_filter,
+)
 from haulrate.llm.common import documents, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -44,6 +54,10 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -53,6 +67,7 @@ QUERIES = {
     "op6_document_fingerprints": op6_document_fingerprints,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scans": op9_secret_scans,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
