@@ -9,6 +9,7 @@ from haulrate.llm import (
     exact_dedup,
     fingerprints,
     jaccard_join,
+    language_model,
     packing,
     pieces,
     quality,
@@ -46,6 +47,10 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(documents(spark, sf_dir))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.perplexities(documents(spark, sf_dir))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op4_url_filters": op4_url_filters,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_document_fingerprints": op6_document_fingerprints,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scans": op9_secret_scans,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
