@@ -1,5 +1,55 @@
+"""A training corpus from ``documents``: five stages, each written to the shared folder.
+
+toxicity: documents that the grammar rejects go. exact_dedup: of equal texts the largest id stays.
+ngram_jaccard_join: of each group of near copies the smallest id stays. secret_scans: secrets are
+replaced by a mark. best_fit_packing: what is left is packed into bins; its rows are the result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from haulrate.llm import exact_dedup, jaccard_join, packing, secret_scan, toxicity
+from haulrate.llm.common import table
+from haulrate.sources.shared import staged
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.keep_first_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.keep_one_of_each(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("secret_scans", redact_secrets),
+    ("best_fit_packing", pack),
+]
+
+# The learned grammar, the components and the packing are no SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return docs

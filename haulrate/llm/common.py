@@ -27,6 +27,14 @@ def filled(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case; every other character stays."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

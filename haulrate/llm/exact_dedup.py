@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulrate.llm.common import lower_ascii
+from haulrate.llm.common import fresh, lower_ascii
 from haulrate.sources.shared import staged
 
 SHARD_DIGESTS = 8192
@@ -105,14 +105,13 @@ def dedup_rows(docs: DataFrame) -> DataFrame:
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text a kept row has, all columns as they are."""
+    digest, keep_id = fresh(docs, "_digest"), fresh(docs, "_keep_id")
     kept = duplicate_groups(digested(docs)).select(
-        F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep_id")
-    )
-    marked = docs.withColumn("_digest", digest_of(F.col("text")))
-    same = (marked["_digest"] == kept["_digest"]) & marked["doc_id"].eqNullSafe(kept["_keep_id"])
-    return (
-        marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+        F.col("digest").alias(f"{digest}_kept"), F.col("keep_id").alias(keep_id)
     )
+    marked = docs.withColumn(digest, digest_of(F.col("text")))
+    same = (F.col(digest) == F.col(f"{digest}_kept")) & F.col("doc_id").eqNullSafe(F.col(keep_id))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", digest]).drop(digest)
 
 
 def _distinct(rows: DataFrame, shards: int) -> DataFrame:

@@ -18,8 +18,7 @@ a chance of about 3 %). Links within a component that is already joined are not
 
 Defined cases: a null text is empty, has no shingle and is linked with nothing, its component is
 its own id. A text of fewer words than a shingle has all of them as its only one. Repeated rows are
-copies of each other. Null ids are ignored as representatives; a component of null ids only has
-none. Texts are read whole, other columns are not read, an empty table gives an empty result.
+copies of each other. Null ids name no component; one of null ids only has a null id. Texts are read whole, other columns are not read, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulrate.llm.common import filled
+from haulrate.llm.common import filled, fresh
 from haulrate.llm.words import mix, shingle_sets
 from haulrate.sources.shared import staged
 
@@ -530,11 +529,10 @@ def near_duplicates(
 def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with the smallest id of each component only, all columns as they are.
 
-    Rows that repeat an id and its component's text stay once; rows without an id all stay unless
-    a row with an id is in their component.
+    Rows that share an id are one document. Rows without an id cannot be named: they all stay.
     """
     found = near_duplicates(docs, words, percent)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")
-    )
-    return docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    kept_id = fresh(docs, "_kept_id")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(kept_id))
+    named = docs.join(kept, F.col("doc_id") == F.col(kept_id), "left_semi")
+    return named.union(docs.where("doc_id is null"))

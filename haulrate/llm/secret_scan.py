@@ -22,7 +22,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulrate.llm.common import filled, map_texts
+from haulrate.llm.common import filled, fresh, map_texts
 
 # The base patterns, in the order of their kinds.
 ASSIGN = re.compile(
@@ -197,21 +197,21 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     Null texts stay null; all other columns and all rows stay.
     """
-    names = docs.columns
+    redacted = fresh(docs, "_redacted")
 
     def make():
         def step(texts):
-            return {"_clean": [None if text is None else _without(text, mark) for text in texts]}
+            return {redacted: [None if text is None else _without(text, mark) for text in texts]}
 
         return step
 
-    clean = map_texts(docs, make, "_clean string", tuple(names))
-    columns = {"text": F.col("_clean")}
-    if "n_chars" in names:
-        changed = ~F.col("text").eqNullSafe(F.col("_clean"))
-        length = F.length("_clean").cast(docs.schema["n_chars"].dataType)
+    clean = map_texts(docs, make, f"{redacted} string", tuple(docs.columns))
+    columns = {"text": F.col(redacted)}
+    if "n_chars" in docs.columns:
+        changed = ~F.col("text").eqNullSafe(F.col(redacted))
+        length = F.length(redacted).cast(docs.schema["n_chars"].dataType)
         columns["n_chars"] = F.when(changed, length).otherwise(F.col("n_chars"))
-    return clean.withColumns(columns).select(*names)
+    return clean.withColumns(columns).drop(redacted)
 
 
 def _without(text: str, mark: str) -> str:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulrate.llm.common import bounded_sample, filled, in_fold, map_texts
+from haulrate.llm.common import bounded_sample, filled, fresh, in_fold, map_texts
 
 TRAINING_ROWS = 20_000
 LARGEST_LEXICON = 4096
@@ -332,16 +332,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, all columns as they are."""
     model, names = fit(docs, labels), tuple(docs.columns)
-    least = math.log(THRESHOLD / (1 - THRESHOLD))
+    least, flag = math.log(THRESHOLD / (1 - THRESHOLD)), fresh(docs, "_toxic")
 
     def make():
         matcher = Matcher(model)
 
         def step(texts):
             found = [matcher.features(text or "")[0] for text in texts]
-            return {"_toxic": [float(np.dot(x, model.weights)) + model.bias >= least for x in found]}
+            return {flag: [float(np.dot(x, model.weights)) + model.bias >= least for x in found]}
 
         return step
 
-    marked = map_texts(docs, make, "_toxic boolean", names)
-    return marked.where(~F.col("_toxic")).select(*names)
+    return map_texts(docs, make, f"{flag} boolean", names).where(~F.col(flag)).drop(flag)
