@@ -18,7 +18,8 @@ a chance of about 3 %). Links within a component that is already joined are not
 
 Defined cases: a null text is empty, has no shingle and is linked with nothing, its component is
 its own id. A text of fewer words than a shingle has all of them as its only one. Repeated rows are
-copies of each other. Null ids name no component; one of null ids only has a null id. Texts are read whole, other columns are not read, an empty table gives an empty result.
+copies of each other. Null ids name no component; one of null ids only has a null id. Texts are
+read whole, other columns are not read, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,7 +41,11 @@ from haulrate.sources.shared import staged
 WORDS = 5
 PERCENT = 80
 #: Most frequent shingles whose order is known; others come before them, by hash.
-MOST_HINTS = 1 << 20
+MOST_HINTS = 1 << 21
+#: Up to so many ids are sent to all tasks; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 20
+#: Rows of a list that are compared with so many next ones to see whether any bound lets them pass.
+NEXT_ROWS = 16
 COUNT_BLOCK = 1 << 22
 #: Rows of a frequent list that go to one task, and the shingles of one group of sets.
 PART_ROWS = 4096
@@ -71,6 +76,9 @@ def _batch(columns: dict[str, tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
+_PROFILE = ["doc_id", "unnamed", "node", "n", "token", "times"]
+
+
 def _profile(docs: DataFrame, words: int) -> DataFrame:
     """Rows of two kinds: every document with its node, and the counts of shingles in blocks."""
 
@@ -79,8 +87,8 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
         tokens, n = tokens[n > 1].view(np.int64), n[n > 1]
         none = pa.nulls(len(tokens), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array(tokens), pa.array(n.astype(np.int64))],
-            names=["doc_id", "node", "n", "token", "times"],
+            [none, none, none, none, pa.array(tokens), pa.array(n.astype(np.int64))],
+            names=_PROFILE,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,9 +105,9 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
                     held += len(shingles)
             none = pa.nulls(part.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())]
-                + [none, none],
-                names=["doc_id", "node", "n", "token", "times"],
+                [part.column("doc_id"), part.column("unnamed"), pa.array(nodes, pa.int64())]
+                + [pa.array(sizes, pa.int64()), none, none],
+                names=_PROFILE,
             )
             if held > COUNT_BLOCK:
                 yield counts(block)
@@ -107,7 +115,7 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
         if block:
             yield counts(block)
 
-    return docs.mapInArrow(run, "doc_id bigint, node bigint, n bigint, token bigint, times bigint")
+    return docs.mapInArrow(run, ", ".join(f"{name} bigint" for name in _PROFILE))
 
 
 def _hints(profile: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -207,21 +215,31 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(changed) + 1])
 
 
-def _shared(postings: DataFrame) -> DataFrame:
-    """The rows of lists with two nodes or more, each node once."""
+def _shared(postings: DataFrame, percent: int) -> DataFrame:
+    """The rows of lists that another node's size and position let pass, each node once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in _runs(batches, ["token", "part"]):
-            node, part = table.column("node").to_numpy(), table.column("part").to_numpy()
             edges = np.zeros(table.num_rows, bool)
             edges[starts[starts < table.num_rows]] = True
+            node = table.column("node").to_numpy()
             fresh = edges.copy()
             fresh[1:] |= node[1:] != node[:-1]
-            run_of = np.cumsum(edges) - 1
-            distinct = np.bincount(run_of, weights=fresh)
-            kept = fresh & ((distinct[run_of] > 1) | (part > 0))
-            out = table.select(["token", "node", "n", "pos"]).filter(pa.array(kept))
-            yield from out.to_batches()
+            run_of = np.cumsum(edges)[fresh]
+            table = table.filter(pa.array(fresh))
+            size = table.column("n").to_numpy().astype(np.int64)
+            rest = size - table.column("pos").to_numpy()
+            long = np.bincount(run_of)[run_of] > NEXT_ROWS
+            kept = (table.column("part").to_numpy() > 0) | long
+            for step in range(1, NEXT_ROWS):
+                same = np.flatnonzero(run_of[step:] == run_of[:-step])
+                if not len(same):
+                    break
+                total = size[same] + size[same + step]
+                bound = np.minimum(rest[same], rest[same + step])
+                passed = same[(100 + percent) * bound >= percent * total]
+                kept[passed] = kept[passed + step] = True
+            yield from table.select(["token", "node", "n", "pos"]).filter(pa.array(kept)).to_batches()
 
     return (
         postings.repartition("token", "part")
@@ -249,25 +267,32 @@ def differing_bits(a: bytes, b: bytes) -> int:
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """The shingles and the bitmap of each of the nodes, from one of its documents."""
-    firsts = members.groupBy("node").agg(F.min("doc_id").alias("first")).join(nodes, "node")
-    chosen = firsts.select(F.col("first").alias("_first"))
-    texts = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_first")), "left_semi")
+    """The shingles and the bitmap of each of the nodes, from one of its documents.
+
+    A node stands here again for each row that repeats its document; pairs are made distinct.
+    """
+    first = F.min(F.struct("unnamed", "doc_id")).alias("first")
+    firsts = members.groupBy("node").agg(first).join(nodes, "node")
+    chosen = staged(firsts.select("first.*", F.col("node").alias("wanted")), "chosen")
+    if chosen.count() <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    same = docs["doc_id"].eqNullSafe(chosen["doc_id"]) & (docs["unnamed"] == chosen["unnamed"])
+    texts = docs.join(chosen, same).select("text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
-            found = {node: s for node, s in _sets(part.column("text"), words) if node is not None}
+            made = zip(part.column("wanted").to_pylist(), _sets(part.column("text"), words))
+            found = [(node, shingles) for wanted, (node, shingles) in made if node == wanted]
             yield _batch(
                 {
-                    "node": (list(found), pa.int64()),
-                    "n": ([len(s) for s in found.values()], pa.int32()),
-                    "shingles": ([s.tobytes() for s in found.values()], pa.binary()),
-                    "bitmap": ([parity_bitmap(s) for s in found.values()], pa.binary()),
+                    "node": ([node for node, _ in found], pa.int64()),
+                    "n": ([len(s) for _, s in found], pa.int32()),
+                    "shingles": ([s.tobytes() for _, s in found], pa.binary()),
+                    "bitmap": ([parity_bitmap(s) for _, s in found], pa.binary()),
                 }
             )
 
-    made = texts.mapInArrow(run, "node bigint, n int, shingles binary, bitmap binary")
-    return made.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node bigint, n int, shingles binary, bitmap binary")
 
 
 def enough(shared: int, a: int, b: int, percent: int) -> bool:
@@ -492,12 +517,17 @@ def _few(rows: DataFrame) -> DataFrame:
 def node_components(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hints: int = MOST_HINTS
 ) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, node, n`` of every document, and ``node, component`` of nodes in lists."""
-    docs = filled(docs)
+    """``doc_id, unnamed, node, n`` of every document, and ``node, component`` of nodes in lists.
+
+    ``unnamed`` is 0, or a hash of the text in rows without an id.
+    """
+    hashed = F.xxhash64("text") % (1 << 62) + (1 << 62)
+    docs = filled(docs).withColumn("unnamed", F.when(F.col("doc_id").isNull(), hashed).otherwise(0))
     profile = staged(_profile(docs, words), "shingles")
-    members = profile.where("token is null").select("doc_id", "node", "n")
+    members = profile.where("token is null").select("doc_id", "unnamed", "node", "n")
     tokens, times = _hints(profile, hints)
-    lists = staged(_shared(_postings(docs, words, percent, tokens, times)), "lists")
+    postings = _postings(docs, words, percent, tokens, times)
+    lists = staged(_shared(postings, percent), "lists")
     nodes = lists.select("node").distinct()
     sets = staged(_sets_of(docs, members, nodes, words), "sets")
     labels = nodes.withColumn("component", F.col("node"))
