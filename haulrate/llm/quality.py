@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from haulrate.llm.common import bounded_sample, filled
 
 TRAINING_ROWS = 20_000
+#: Posterior of good where no labeller votes bad: it ties the classes to their names.
+UNFLAGGED = 0.999
 #: No labeller calls more good documents bad than this share; kinds of junk seldom coincide, so
 #: without a bound the commonest kind alone would become the bad class.
 FALSE_ALARMS = 0.002
@@ -90,7 +92,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     Starts from labellers that seldom call a good document bad, which tells the classes apart.
     """
     votes = digits_of(patterns)
-    labellers = np.arange(votes.shape[1])
+    labellers, flagged = np.arange(votes.shape[1]), (votes == 2).any(axis=1)
     emit = np.empty((2, votes.shape[1], VOTES))
     emit[1], emit[0] = START_GOOD, START_BAD
     good = START_SHARE
@@ -98,7 +100,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     for _ in range(STEPS):
         logs = [np.log(emit[c][labellers, votes]).sum(axis=1) for c in (0, 1)]
         odds = np.clip(logs[1] - logs[0] + np.log(good / (1 - good)), -50, 50)
-        new = 1 / (1 + np.exp(-odds))
+        new = np.where(flagged, 1 / (1 + np.exp(-odds)), UNFLAGGED)
         done = np.abs(new - posterior).max(initial=0.0) < 1e-9
         posterior = new
         weights = (counts * (1 - posterior), counts * posterior)
