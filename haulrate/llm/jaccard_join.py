@@ -7,8 +7,8 @@ only those are listed, with their position. Three steps find the components of a
 * Each node goes to the longest list it stands in, in parts of bounded size. There its set is
   compared with the sets that no similar one has reached yet: what a highly similar set has
   answered is skipped, so a group of near copies costs a few rows of comparisons, not all pairs.
-* Lists whose nodes are of one component by now are skipped whole. Of the others, a few nodes of
-  each component are compared, which joins the parts of a group.
+* Lists whose nodes are of one component by now are skipped whole. Of the long others, a few
+  nodes of each component are compared, which joins the parts of a group.
 * What is still open is compared in full, in blocks. Blocks skip pairs of one component, of sizes
   or positions too far apart, or whose parity bitmaps already differ in too many bits.
 
@@ -41,7 +41,7 @@ from haulrate.sources.shared import staged
 WORDS = 5
 PERCENT = 80
 #: Most frequent shingles whose order is known; others come before them, by hash.
-MOST_HINTS = 1 << 21
+MOST_HINTS = 1 << 22
 #: Up to so many ids are sent to all tasks; more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
 #: Rows of a list that are compared with so many next ones to see whether any bound lets them pass.
@@ -50,6 +50,8 @@ COUNT_BLOCK = 1 << 22
 #: Rows of a frequent list that go to one task, and the shingles of one group of sets.
 PART_ROWS = 4096
 GROUP_SHINGLES = 1 << 18
+#: Lists of more rows are first compared by a few nodes of each component.
+LONG_LIST = 64
 REPRESENTATIVES = 3
 BITS_PER_SHINGLE = 4
 MOST_BITS = 1 << 16
@@ -119,12 +121,12 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _hints(profile: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles (unsigned, rising) and how often blocks counted them.
+    """The most frequent shingles (unsigned, rising), each with the power of two of its count.
 
-    All of a power of two of counts or none, so that at most ``most`` come to the driver.
+    All of a power of two or none, so that at most ``most`` come to the driver.
     """
     times = profile.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
-    times = times.withColumn("level", F.floor(F.log2("times")).cast("int"))
+    times = times.select("token", F.floor(F.log2("times")).cast("tinyint").alias("level"))
     sizes = {row["level"]: row["count"] for row in times.groupBy("level").count().collect()}
     least, total = 64, 0
     for level in sorted(sizes, reverse=True):
@@ -132,10 +134,10 @@ def _hints(profile: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
         if total > most:
             break
         least = level
-    found = times.where(F.col("level") >= least).select("token", "times").toArrow()
+    found = times.where(F.col("level") >= least).toArrow()
     tokens = found.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], found.column("times").to_numpy()[order]
+    return tokens[order], found.column("level").to_numpy()[order]
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -144,14 +146,14 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 def _postings(
-    docs: DataFrame, words: int, percent: int, tokens: np.ndarray, times: np.ndarray
+    docs: DataFrame, words: int, percent: int, tokens: np.ndarray, levels: np.ndarray
 ) -> DataFrame:
     """The first shingles of each node in the global order, with positions.
 
     ``part`` deals the rows of a shingle that is known to be frequent to several tasks; 0 is a
     shingle whose rows stay together.
     """
-    parts_of = np.where(times > PART_ROWS, -(-times // PART_ROWS), 0)
+    parts_of = {level: -(-(2 << level) // PART_ROWS) for level in set(levels.tolist())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -169,9 +171,10 @@ def _postings(
                 deal = np.zeros(len(first), np.int64)
                 if len(first) < length:
                     rest, where = shingles[known], at[known]
-                    order = np.lexsort((rest, times[where]))[: length - len(first)]
+                    order = np.lexsort((rest, levels[where]))[: length - len(first)]
                     first = np.concatenate([first, rest[order]])
-                    deal = np.concatenate([deal, parts_of[where[order]]])
+                    parts = [parts_of[level] for level in levels[where[order]].tolist()]
+                    deal = np.concatenate([deal, [k if k > 1 else 0 for k in parts]])
                 spread = node % np.maximum(deal, 1) + 1
                 out.append((first, node, size, np.where(deal > 0, spread, 0)))
             if out:
@@ -266,6 +269,12 @@ def differing_bits(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """Written rows, which a join sends to all tasks if they are counted to be few enough."""
+    rows = staged(rows, "few")
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _sets_of(docs: DataFrame, members: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """The shingles and the bitmap of each of the nodes, from one of its documents.
 
@@ -273,9 +282,7 @@ def _sets_of(docs: DataFrame, members: DataFrame, nodes: DataFrame, words: int)
     """
     first = F.min(F.struct("unnamed", "doc_id")).alias("first")
     firsts = members.groupBy("node").agg(first).join(nodes, "node")
-    chosen = staged(firsts.select("first.*", F.col("node").alias("wanted")), "chosen")
-    if chosen.count() <= BROADCAST_ROWS:
-        chosen = F.broadcast(chosen)
+    chosen = _sent(firsts.select("first.*", F.col("node").alias("wanted")))
     same = docs["doc_id"].eqNullSafe(chosen["doc_id"]) & (docs["unnamed"] == chosen["unnamed"])
     texts = docs.join(chosen, same).select("text", "wanted")
 
@@ -348,7 +355,7 @@ def _links_in_groups(lists: DataFrame, sets: DataFrame, percent: int) -> DataFra
         ends = [[nodes[order[pair[side]]] for pair in links] for side in (0, 1)]
         return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
 
-    with_sets = dealt.join(sets.select("node", "shingles"), "node")
+    with_sets = sets.select("node", "shingles").join(_sent(dealt), "node")
     return with_sets.groupBy("token", "part").applyInArrow(run, "a bigint, b bigint")
 
 
@@ -430,6 +437,8 @@ def _pairs(group: dict[str, np.ndarray], percent: int) -> Iterator[tuple[int, in
 
 def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = sets.join(_sent(nodes), "node", "left_semi")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
 
@@ -486,13 +495,17 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of lists that hold several components, with their component."""
+def _open(lists: DataFrame, labels: DataFrame, more_than: int) -> DataFrame:
+    """The rows of lists of more rows than that and several components, with their component."""
     labelled = lists.join(labels, "node")
     several = (
         labelled.groupBy("token")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count("*").alias("rows"),
+        )
+        .where((F.col("low") != F.col("high")) & (F.col("rows") > more_than))
         .select("token")
     )
     return labelled.join(several, "token")
@@ -525,15 +538,15 @@ def node_components(
     docs = filled(docs).withColumn("unnamed", F.when(F.col("doc_id").isNull(), hashed).otherwise(0))
     profile = staged(_profile(docs, words), "shingles")
     members = profile.where("token is null").select("doc_id", "unnamed", "node", "n")
-    tokens, times = _hints(profile, hints)
-    postings = _postings(docs, words, percent, tokens, times)
+    tokens, levels = _hints(profile, hints)
+    postings = _postings(docs, words, percent, tokens, levels)
     lists = staged(_shared(postings, percent), "lists")
     nodes = lists.select("node").distinct()
     sets = staged(_sets_of(docs, members, nodes, words), "sets")
     labels = nodes.withColumn("component", F.col("node"))
     labels = _relabel(labels, staged(_links_in_groups(lists, sets, percent), "links"))
-    for narrow in (_few, None):
-        rows = _open(lists, labels)
+    for narrow, more_than in ((_few, LONG_LIST), (None, 1)):
+        rows = _open(lists, labels, more_than)
         rows = staged(narrow(rows) if narrow else rows, "open")
         pairs = staged(_candidates(rows, sets, percent), "pairs")
         labels = _relabel(labels, _checked(pairs, sets, percent))
