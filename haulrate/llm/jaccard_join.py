@@ -4,10 +4,13 @@ Texts of one shingle set are one node. A global order of shingles puts frequent
 counts of blocks over all texts; similar sets then share a shingle among the first few of both, so
 only those are listed, with their position. Three steps find the components of all links:
 
-* Each node goes to the longest list it stands in, in parts of bounded size. There its set is
+* Nodes that share a short list are candidate pairs at once; sizes, positions and parity bitmaps
+  rule most of the false ones out, and what the others join is a group. So is a long list, for the
+  nodes of which it is the longest. A group goes to tasks in parts of bounded size. There a set is
   compared with the sets that no similar one has reached yet: what a highly similar set has
   answered is skipped, so a group of near copies costs a few rows of comparisons, not all pairs.
-* Lists whose nodes are of one component by now are skipped whole. Of the long others, a few
+  Pairs that the parts have separated are compared one by one.
+* Long lists whose nodes are of one component by now are skipped whole. Of the longer others, a few
   nodes of each component are compared, which joins the parts of a group.
 * What is still open is compared in full, in blocks. Blocks skip pairs of one component, of sizes
   or positions too far apart, or whose parity bitmaps already differ in too many bits.
@@ -44,8 +47,8 @@ PERCENT = 80
 MOST_HINTS = 1 << 22
 #: Up to so many ids are sent to all tasks; more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
-#: Rows of a list that are compared with so many next ones to see whether any bound lets them pass.
-NEXT_ROWS = 16
+#: All pairs of a list of at most so many rows are candidates at once.
+SHORT_LIST = 16
 COUNT_BLOCK = 1 << 22
 #: Rows of a frequent list that go to one task, and the shingles of one group of sets.
 PART_ROWS = 4096
@@ -218,8 +221,12 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(changed) + 1])
 
 
-def _shared(postings: DataFrame, percent: int) -> DataFrame:
-    """The rows of lists that another node's size and position let pass, each node once."""
+def _met(postings: DataFrame, percent: int) -> DataFrame:
+    """What shares a list: pairs of nodes (``node``, ``other``) of short lists that size and
+    position let pass, and the rows of long lists, whose ``other`` is null."""
+    schema = pa.schema(
+        [("token", "int64"), ("node", "int64"), ("n", "int32"), ("pos", "int32"), ("other", "int64")]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in _runs(batches, ["token", "part"]):
@@ -229,25 +236,29 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
             fresh = edges.copy()
             fresh[1:] |= node[1:] != node[:-1]
             run_of = np.cumsum(edges)[fresh]
-            table = table.filter(pa.array(fresh))
+            table, node = table.filter(pa.array(fresh)), node[fresh]
             size = table.column("n").to_numpy().astype(np.int64)
             rest = size - table.column("pos").to_numpy()
-            long = np.bincount(run_of)[run_of] > NEXT_ROWS
-            kept = (table.column("part").to_numpy() > 0) | long
-            for step in range(1, NEXT_ROWS):
-                same = np.flatnonzero(run_of[step:] == run_of[:-step])
+            long = np.bincount(run_of)[run_of] > SHORT_LIST
+            long |= table.column("part").to_numpy() > 0
+            rows = table.select(["token", "node", "n", "pos"]).filter(pa.array(long))
+            rows = rows.append_column("other", pa.nulls(rows.num_rows, pa.int64()))
+            yield from rows.cast(schema).to_batches()
+            for step in range(1, SHORT_LIST):
+                same = np.flatnonzero((run_of[step:] == run_of[:-step]) & ~long[step:])
                 if not len(same):
                     break
                 total = size[same] + size[same + step]
                 bound = np.minimum(rest[same], rest[same + step])
                 passed = same[(100 + percent) * bound >= percent * total]
-                kept[passed] = kept[passed + step] = True
-            yield from table.select(["token", "node", "n", "pos"]).filter(pa.array(kept)).to_batches()
+                empty = [pa.nulls(len(passed), field.type) for field in schema]
+                empty[1], empty[4] = pa.array(node[passed]), pa.array(node[passed + step])
+                yield pa.RecordBatch.from_arrays(empty, schema=schema)
 
     return (
         postings.repartition("token", "part")
         .sortWithinPartitions("token", "part", "node")
-        .mapInArrow(run, "token bigint, node bigint, n int, pos int")
+        .mapInArrow(run, "token bigint, node bigint, n int, pos int, other bigint")
     )
 
 
@@ -335,17 +346,24 @@ def reach_similar(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
     return links
 
 
-def _links_in_groups(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among nodes whose longest list is the same, in groups of bounded size."""
-    sizes = lists.groupBy("token").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
-    longest = F.max(F.struct("rows", "token", "shingles")).alias("home")
-    homes = lists.join(sizes, "token").groupBy("node").agg(longest)
-    parts = F.ceil(F.col("home.shingles") / GROUP_SHINGLES)
-    dealt = homes.select(
-        "node",
-        F.col("home.token").alias("token"),
-        F.pmod(F.xxhash64("node"), F.greatest(parts, F.lit(1))).alias("part"),
-    )
+def _longest_lists(lists: DataFrame) -> DataFrame:
+    """Each node with the longest list it stands in."""
+    sizes = lists.groupBy("token").agg(F.count("*").alias("rows"))
+    longest = F.max(F.struct("rows", "token")).alias("home")
+    homes = lists.join(sizes, "token").groupBy("node").agg(longest, F.first("n").alias("n"))
+    return homes.select("node", "n", F.col("home.token").alias("group"))
+
+
+def _in_parts(groups: DataFrame) -> DataFrame:
+    """Groups of nodes, dealt to parts of bounded size."""
+    sizes = groups.groupBy("group").agg(F.sum("n").alias("shingles"))
+    parts = F.greatest(F.ceil(F.col("shingles") / GROUP_SHINGLES), F.lit(1))
+    part = F.pmod(F.xxhash64("node"), parts).cast("int").alias("part")
+    return groups.join(sizes, "group").select("node", "group", part)
+
+
+def _links_in_groups(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join the nodes of each part of a group to their components within it."""
 
     def run(group: pa.Table) -> pa.Table:
         nodes = group.column("node").to_pylist()
@@ -356,7 +374,27 @@ def _links_in_groups(lists: DataFrame, sets: DataFrame, percent: int) -> DataFra
         return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
 
     with_sets = sets.select("node", "shingles").join(_sent(dealt), "node")
-    return with_sets.groupBy("token", "part").applyInArrow(run, "a bigint, b bigint")
+    return with_sets.groupBy("group", "part").applyInArrow(run, "a bigint, b bigint")
+
+
+def _not_ruled_out(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps do not differ in too many bits."""
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches, 1024):
+            columns = [part.column(name).to_pylist() for name in ("na", "nb", "x", "y")]
+            kept = [_may_be(*row, percent) for row in zip(*columns)]
+            yield part.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a bigint, b bigint")
+
+
+def _may_be(a: int, b: int, x: bytes, y: bytes, percent: int) -> bool:
+    """Half of what is not different is shared at most."""
+    total = a + b
+    return (100 + percent) * (total - differing_bits(x, y)) >= 2 * percent * total
 
 
 def _candidates(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -396,9 +434,8 @@ def _candidates(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     pair = int(column["node"][a]), int(column["node"][b])
                     if pair in found or pair[::-1] in found:
                         continue
-                    total = int(column["n"][a]) + int(column["n"][b])
-                    differ = differing_bits(bitmaps[a].as_py(), bitmaps[b].as_py())
-                    if (100 + percent) * (total - differ) >= 2 * percent * total:
+                    x, y = bitmaps[a].as_py(), bitmaps[b].as_py()
+                    if _may_be(int(column["n"][a]), int(column["n"][b]), x, y, percent):
                         found.add(pair)
             yield _batch(
                 {
@@ -539,17 +576,38 @@ def node_components(
     profile = staged(_profile(docs, words), "shingles")
     members = profile.where("token is null").select("doc_id", "unnamed", "node", "n")
     tokens, levels = _hints(profile, hints)
-    postings = _postings(docs, words, percent, tokens, levels)
-    lists = staged(_shared(postings, percent), "lists")
-    nodes = lists.select("node").distinct()
+    met = staged(_met(_postings(docs, words, percent, tokens, levels), percent), "met")
+    lists = met.where("other is null").drop("other")
+    pairs = met.where("other is not null").select(
+        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
+    )
+    pairs = staged(pairs.distinct(), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    nodes = staged(lists.select("node").union(ends).distinct(), "nodes")
     sets = staged(_sets_of(docs, members, nodes, words), "sets")
+
+    # Near copies that meet in short lists: groups are what the pairs left over join.
+    pairs = staged(_not_ruled_out(pairs, sets, percent), "pairs")
+    groups = components(pairs).withColumnRenamed("component", "group")
+    dealt = staged(_in_parts(groups.join(sets.select("node", "n"), "node")), "groups")
+    links = _links_in_groups(dealt, sets, percent)
+    # Those that meet in long lists: groups are the lists.
+    homes = staged(_in_parts(_longest_lists(lists)), "groups")
+    links = links.union(_links_in_groups(homes, sets, percent))
     labels = nodes.withColumn("component", F.col("node"))
-    labels = _relabel(labels, staged(_links_in_groups(lists, sets, percent), "links"))
+    labels = _relabel(labels, staged(links, "links"))
+
+    # Pairs that a group's parts have separated.
+    part = dealt.join(labels, "node").select("node", F.struct("part", "component").alias("at"))
+    apart = pairs.join(part.toDF("a", "x"), "a").join(part.toDF("b", "y"), "b")
+    apart = apart.where("x.part <> y.part and x.component <> y.component").select("a", "b")
+    labels = _relabel(labels, _checked(staged(apart, "pairs"), sets, percent))
     for narrow, more_than in ((_few, LONG_LIST), (None, 1)):
         rows = _open(lists, labels, more_than)
         rows = staged(narrow(rows) if narrow else rows, "open")
-        pairs = staged(_candidates(rows, sets, percent), "pairs")
-        labels = _relabel(labels, _checked(pairs, sets, percent))
+        if not rows.isEmpty():
+            found = staged(_candidates(rows, sets, percent), "pairs")
+            labels = _relabel(labels, _checked(found, sets, percent))
     return members, labels
 
 

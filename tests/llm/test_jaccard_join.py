@@ -66,7 +66,7 @@ def test_lists_in_parts(docs, corpus, monkeypatch):
     """Lists, blocks and groups of a few rows each, as very long lists are dealt."""
     monkeypatch.setattr(jaccard_join, "PART_ROWS", 4)
     monkeypatch.setattr(jaccard_join, "GROUP_SHINGLES", 300)
-    monkeypatch.setattr(jaccard_join, "NEXT_ROWS", 3)
+    monkeypatch.setattr(jaccard_join, "SHORT_LIST", 3)
     monkeypatch.setattr(jaccard_join, "LONG_LIST", 5)
     monkeypatch.setattr(jaccard_join, "COUNT_BLOCK", 500)
     monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
