@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from haulrate.functions import has_text, match_key
-from haulrate.operators.lookups import join_side
+from haulrate.operators.lookups import ROW_ID, join_side
 from haulrate.operators.shipments import SLOTS, slot
 from haulrate.sources.cards import Card
-from haulrate.sources.shared import staged
 
 PARTS = ["title"] + [f"item{k}" for k in range(1, SLOTS + 1)]
 SEPARATOR = " / "
 GRAM = 3
 
 FIELDS = ("keyword", "needle", "difficulty_idx", "fragile_idx")
-WORDS = "array<struct<keyword:string,needle:string,difficulty_idx:double,fragile_idx:double>>"
+WORD_FIELDS = "keyword:string,needle:string,difficulty_idx:double,fragile_idx:double"
+WORDS = f"array<struct<{WORD_FIELDS}>>"
 
 
 def keyword_rows(card: Card) -> Card:
@@ -50,18 +50,23 @@ def _literal_words(rows: list[Row]) -> Column:
             return f"cast(X'{value.encode().hex()}' AS string)"
         return f"cast('{value!r}' AS double)"
 
-    ordered = sorted(rows, key=lambda row: row["id"])
+    ordered = sorted(rows, key=lambda row: [row["id"], *[row[f] for f in FIELDS]])
     words = [", ".join(f"'{f}', {literal(row[f])}" for f in FIELDS) for row in ordered]
     return F.expr(f"cast(array({', '.join(f'named_struct({word})' for word in words)}) AS {WORDS})")
 
 
-def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
-    """Keywords of each distinct text, for a keyword list of any size.
+def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
+    """Add the keywords of every part, as array ``hits`` in the order of PARTS.
 
-    A keyword can only be in a text that has the keyword's first letters somewhere, so texts
-    and keywords meet by equality on those letters and only then are compared in full.
+    For a keyword list of any size: a keyword can only be in a text that has the keyword's first
+    letters somewhere, so texts and keywords meet by equality on those letters. The pieces carry
+    the row and part they come from, not the text; what met is compared in full beside the text
+    of its row. Within a part the keywords stand in the order of the literal list.
     """
-    sized = words.df.withColumn("gram", F.substring("needle", 1, GRAM))
+    texts = list(_texts().values())
+    every = F.array(*[F.struct(text.alias("text")) for text in texts])
+    parts = df.select(ROW_ID, F.posexplode(every).alias("part", "held"))
+    parts = parts.select(ROW_ID, "part", F.col("held.text").alias("text")).dropna()
 
     def grams(q: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size("letters") - (q - 1), F.lit(1)))
@@ -69,26 +74,24 @@ def _text_hits(texts: DataFrame, words: Card) -> DataFrame:
 
     pieces = F.array_distinct(F.concat(*[grams(q) for q in range(1, GRAM + 1)]))
     letters = F.split("text", "").alias("letters")  # once, so that each piece is found in place
-    probes = texts.select("text", letters).select("text", F.explode(pieces).alias("probe"))
-    gram = {"gram": F.col("probe")}
-    met = join_side(
-        probes, sized, gram, small=words.small, limits=words.limits, how="inner"
-    ).where(F.contains("text", "needle"))
-    word = F.struct("id", *FIELDS)
-    return met.groupBy("text").agg(F.sort_array(F.collect_list(word)).alias("hits"))
+    probes = parts.select(ROW_ID, "part", letters).select(
+        ROW_ID, "part", F.explode(pieces).alias("probe")
+    )
+    sized = words.df.select(F.substring("needle", 1, GRAM).alias("gram"), F.struct("id", *FIELDS).alias("word"))
+    met = join_side(probes, sized, {"gram": F.col("probe")}, small=words.small, how="inner")
+    hit = F.struct("part", "word")
+    met = met.groupBy(F.col(ROW_ID).alias("__row")).agg(F.sort_array(F.collect_list(hit)).alias("met"))
+    joined = df.join(met, F.col(ROW_ID) == F.col("__row"), "left")
 
+    def of_part(k: int, text: Column) -> Column:
+        def stands(hit: Column) -> Column:
+            return (hit["part"] == k) & F.contains(text, hit["word"]["needle"])
 
-def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
-    """Add the keywords of every part, as array ``hits`` in the order of PARTS."""
-    df = staged(df)  # read once for its texts and once for the join
-    texts = _texts()
-    every = df.select(F.explode(F.array(*texts.values())).alias("text")).dropna().distinct()
-    hits = staged(_text_hits(every, words))  # joined to every part
-    for part, text in texts.items():
-        found = hits.withColumnRenamed("hits", f"{part}hits")
-        df = join_side(df, found, {"text": text}, small=False, limits=words.limits)
-    names = [f"{part}hits" for part in PARTS]
-    return df.withColumn("hits", F.array(*names)).drop(*names)
+        mine = F.transform(F.filter("met", stands), lambda hit: hit["word"])
+        return F.coalesce(mine, F.array().cast(f"array<struct<id:int,{WORD_FIELDS}>>"))
+
+    hits = F.array(*[of_part(k, text) for k, text in enumerate(texts)])
+    return joined.withColumn("hits", hits).drop("__row", "met")
 
 
 def _joined_keywords(hits: Column, passes: int) -> Column:

@@ -2,14 +2,16 @@
 
 Each lookup adds one struct column holding the card's values; it is NULL on a miss, so the
 caller decides whether a miss keeps the old value or computes over NULLs. When several card
-rows match, the winner is fixed: the lowest upper bound of a band, then the lowest id.
+rows match, the winner is fixed and the same for a card of any size: the lowest upper bound of
+a band, then the lowest id, lower bound and values, NULLs first.
 
-A card is broadcast only when its counted rows allow it. A larger one is joined by a shuffle
-on key and salt, so that a key holding much of the data is spread over many tasks.
+A card is broadcast only when its counted rows allow it. A larger one is joined by a shuffle,
+of which adaptive execution splits the partitions that hot keys make too large.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
@@ -21,21 +23,23 @@ from pyspark.sql import types as T
 from haulrate.functions import match_key
 from haulrate.params import Limits
 from haulrate.sources.cards import Card
-from haulrate.sources.shared import staged
 
 ROW_ID = "packagematchid"
 SALT = "__salt"
+PARTS = 1 << 16
+#: Level of bands without a finite width, and of bounds beyond any cell number.
+OPEN_LEVEL = 1 << 12
+MOST_CELLS = float(1 << 62)
 
 
 def row_hash(df: DataFrame) -> Column:
-    """A value that differs between rows and is the same when a task is run again."""
-    return F.xxhash64(ROW_ID) if ROW_ID in df.columns else F.xxhash64(*df.columns)
+    """A value that differs between rows and is the same when a task is run again.
 
-
-def with_salts(side: DataFrame, limits: Limits) -> DataFrame:
-    """Every row once per salt."""
-    salts = F.sequence(F.lit(0), F.lit(limits.salts - 1))
-    return side.withColumn(SALT, F.explode(salts))
+    Without a row id, equal rows of one partition share it.
+    """
+    if ROW_ID in df.columns:
+        return F.xxhash64(ROW_ID)
+    return F.xxhash64(F.spark_partition_id(), *df.columns)
 
 
 def join_side(
@@ -44,23 +48,17 @@ def join_side(
     on: Mapping[str, Column],
     *,
     small: bool,
-    limits: Limits,
     how: str = "left",
 ) -> DataFrame:
-    """Join a side that has one row per key: broadcast if small, else salted and shuffled.
+    """Join a side that has one row per key: broadcast if small, else by a shuffle.
 
-    ``on`` gives, for each key column of the side, the expression of ``df`` it must equal.
+    ``on`` gives, for each key column of the side, the expression of ``df`` it must equal. Beyond
+    the broadcast size adaptive execution measures the shuffled partitions and splits those of
+    hot (or NULL) keys; it copies their part of the side only. ``df`` is read once.
     """
-    if small:
-        side = F.broadcast(side)
-    else:
-        side = side if SALT in side.columns else with_salts(side, limits)
-        df = df.withColumn(SALT, F.pmod(row_hash(df), F.lit(limits.salts)).cast("int"))
-        on = {**on, SALT: df[SALT]}
     equal = reduce(and_, [value == side[key] for key, value in on.items()])
     added = [side[name] for name in side.columns if name not in on]
-    joined = df.join(side, equal, how).select(df["*"], *added)
-    return joined if small else joined.drop(SALT)
+    return df.join(F.broadcast(side) if small else side, equal, how).select(df["*"], *added)
 
 
 def _comparable(card: DataFrame, name: str, value: Column) -> Column:
@@ -82,7 +80,11 @@ def one_per_key(
     rows = card.select(*keys, value.alias(name), order.alias("__order")).dropna(subset=list(keys))
     if small:
         rows = rows.coalesce(1)  # already in one partition, so the reduction needs no shuffle
-    return rows.groupBy(*keys).agg(F.min_by(name, "__order").alias(name))
+        return rows.groupBy(*keys).agg(F.min_by(name, "__order").alias(name))
+    # Reduced in a partitioning of its own: only a side that the join itself shuffles can have
+    # its partitions read several times, which splitting a hot key needs.
+    part = F.pmod(F.xxhash64(*keys), F.lit(PARTS)).alias("__part")
+    return rows.groupBy(*keys, part).agg(F.min_by(name, "__order").alias(name)).drop("__part")
 
 
 def equi_lookup(
@@ -101,17 +103,14 @@ def equi_lookup(
     side = card.df.withColumns(
         {key: _comparable(card.df, col, F.col(col)) for key, (_, col) in zip(keys, on)}
     )
-    if not card.small:  # salted before the reduction, whose shuffle then serves the join too
-        side = with_salts(side, card.limits)
-    unique = keys if card.small else [*keys, SALT]
     side = one_per_key(
-        side, unique, F.struct(*take), F.struct(*_tie(card.df), *take), name, card.small
+        side, keys, F.struct(*take), F.struct(*_tie(card.df), *take), name, card.small
     )
     probe = {
         key: _comparable(card.df, col, F.col(value) if isinstance(value, str) else value)
         for key, (value, col) in zip(keys, on)
     }
-    return join_side(df, side, probe, small=card.small, limits=card.limits)
+    return join_side(df, side, probe, small=card.small)
 
 
 def band_lookup(
@@ -122,8 +121,8 @@ def band_lookup(
         return _band_join(df, card, value, lo, hi, take, name)
     types = {col: card.df.schema[col].dataType for col in take}
     bands = [row for row in card.literals if row[lo] is not None and row[hi] is not None]
-    rank = _tie(card.df)
-    bands.sort(key=lambda row: (row[hi], *[(row[c] is not None, row[c] or 0) for c in rank]))
+    order = [hi, *_tie(card.df), lo, *take]
+    bands.sort(key=lambda row: [_rank(row[c]) for c in order])
     found = F.lit(None).cast(T.StructType([T.StructField(c, t) for c, t in types.items()]))
     for row in reversed(bands):
         values = F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in take])
@@ -132,42 +131,62 @@ def band_lookup(
     return df.withColumn(name, found)
 
 
+def _rank(value) -> tuple:
+    """A value's place in Spark's order: NULL before all values, NaN after them."""
+    nan = isinstance(value, float) and math.isnan(value)
+    return (value is not None, nan, 0 if value is None or nan else value)
+
+
+def _cell(value: Column, level: int | Column) -> Column:
+    """The number of the cell of size 2 ** level; 0 for all values of the open level."""
+    size = F.pow(F.lit(2.0), F.least(F.lit(level), F.lit(1023)))
+    place = value.cast("double") / size
+    numbered = F.when(F.abs(place) < MOST_CELLS, F.floor(place))
+    return F.when(F.lit(level) == OPEN_LEVEL, F.lit(0).cast("bigint")).otherwise(numbered)
+
+
 def _band_join(
     df: DataFrame, card: Card, value: str, lo: str, hi: str, take: Sequence[str], name: str
 ) -> DataFrame:
-    """The same for a card of any size, as equality joins.
+    """The same for a card of any size, as one equality join per level.
 
-    A band is filed under its level, the power of two not below its width, and under the at
-    most two cells of that size it touches. Each distinct value probes one cell per level.
-    The rows are read twice, for their values and for the join, so they are staged before.
+    A band is filed under its level, the power of two not below its width, and under the few
+    cells of that size it touches; a band without a finite width is in the only cell of the open
+    level. The bands of a cell stand in the order in which they win, so each level gives its
+    first that holds the value, and the first of those wins.
     """
-    df = staged(df)
-    size = F.pow(F.lit(2.0), F.col("__level"))
-    width = F.greatest(F.col(hi).cast("double") - F.col(lo).cast("double"), F.lit(1.0))
-    first, last = (F.floor(F.col(c).cast("double") / size) for c in (lo, hi))
-    bands = (
-        card.df.where(F.col(lo) <= F.col(hi))
-        .withColumn("__level", F.ceil(F.log2(width)).cast("int"))
-        .withColumn("__cell", F.explode(F.sequence(first, last)))
+    width = F.col(hi).cast("double") - F.col(lo).cast("double")
+    far = F.greatest(F.abs(F.col(lo).cast("double")), F.abs(F.col(hi).cast("double")))
+    # Two more than the width's own power where the bounds are too far out to be numbered.
+    level = F.greatest(F.ceil(F.log2(F.greatest(width, F.lit(1.0)))), F.ceil(F.log2(far)) - 61)
+    closed = (far < float("inf")) & (width < float("inf"))
+    bands = card.df.where(F.col(lo) <= F.col(hi)).withColumn(
+        "__level", F.when(closed & (level < 1023), level.cast("int")).otherwise(OPEN_LEVEL)
     )
-    # A double has about 1,100 exponents, so there are never more levels than that.
-    levels = [row[0] for row in bands.select("__level").distinct().collect()]
-    probes = (
-        df.select(F.col(value).alias("__value"))
-        .dropna()
-        .distinct()
-        .withColumn("__level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
-        .withColumn("__cell", F.floor(F.col("__value").cast("double") / size))
+    order = [F.col(c).alias(f"__o{i}") for i, c in enumerate([hi, *_tie(card.df), lo, *take])]
+    band = F.struct(
+        *order, F.col(lo).alias("lo"), F.col(hi).alias("hi"), F.struct(*take).alias("values")
     )
-    order = F.struct(hi, *_tie(card.df), lo, *take)
-    hits = (
-        probes.join(bands, ["__level", "__cell"])
-        .where(F.col("__value").between(F.col(lo), F.col(hi)))
-        .select("__value", F.struct(*take).alias(name), order.alias("__order"))
-        .groupBy("__value")
-        .agg(F.min_by(name, "__order").alias(name))
-    )
-    return join_side(df, hits, {"__value": F.col(value)}, small=False, limits=card.limits)
+    # A double has about 1,100 exponents, so there are never more levels than that.
+    levels = sorted(row[0] for row in bands.select("__level").distinct().collect())
+    hits = []
+    for k, of in enumerate(levels):
+        touched = F.sequence(_cell(F.col(lo), of), _cell(F.col(hi), of))
+        side = (
+            bands.where(F.col("__level") == of)
+            .select(F.explode(touched).alias("__cell"), band.alias("band"))
+            .groupBy("__cell")
+            .agg(F.sort_array(F.collect_list("band")).alias(f"__bands{k}"))
+        )
+        probe = {"__cell": _cell(F.col(value), of)}
+        df = join_side(df, side, probe, small=card.small)
+        inside = F.filter(f"__bands{k}", lambda b: F.col(value).between(b["lo"], b["hi"]))
+        hits.append(F.get(inside, F.lit(0)))
+    if not hits:
+        nothing = card.df.select(F.struct(*take).alias("values")).schema["values"].dataType
+        return df.withColumn(name, F.lit(None).cast(nothing))
+    first = F.array_min(F.array_compact(F.array(*hits)))
+    return df.withColumn(name, first["values"]).drop(*[f"__bands{k}" for k in range(len(hits))])
 
 
 def pair_band_lookup(
@@ -209,7 +228,7 @@ def pair_band_lookup(
         key: _comparable(card.df, col, F.col(left)) for key, (left, col) in zip(keys, on)
     }
     probe["__cell"] = F.floor(F.col(value) / width)
-    found = join_side(df, side, probe, small=card.small, limits=card.limits)
+    found = join_side(df, side, probe, small=card.small)
     inside = F.filter(
         "__bands", lambda band: F.col(value).between(band["__hi"] - width, band["__hi"])
     )

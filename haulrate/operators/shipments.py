@@ -12,7 +12,7 @@ from haulrate.operators.fuel import with_lagged_fuel
 from haulrate.operators.joins import join_hot_keys
 from haulrate.operators.lookups import equi_lookup
 from haulrate.params import Params
-from haulrate.sources.cards import Card, Cards
+from haulrate.sources.cards import Cards
 from haulrate.sources.facts import Facts
 
 SLOTS = 5
@@ -64,13 +64,12 @@ def item_totals(items: DataFrame) -> DataFrame:
 def package_quantity(listing: DataFrame, bids: DataFrame, items: DataFrame) -> DataFrame:
     """Units per countable package; every matched bid counts the package's items again.
 
-    Each input is reduced to one row per package before the join, so bids and items of a
-    package never meet as pairs.
+    ``listing`` is unique by packageid (``Facts.check_keys``). Bids and items are reduced to one
+    row per package before the join, so they never meet as pairs.
     """
-    listed = listing.where(_countable()).groupBy("packageid").agg(F.count("*").alias("listed"))
+    listed = listing.where(_countable()).select("packageid")
     joined = listed.join(bid_counts(bids), "packageid").join(item_totals(items), "packageid")
-    quantity = F.col("units") * F.col("matched") * F.col("listed")
-    return joined.select("packageid", quantity.alias("qty"))
+    return joined.select("packageid", (F.col("units") * F.col("matched")).alias("qty"))
 
 
 def item_slots(items: DataFrame, n: int = SLOTS) -> DataFrame:
@@ -196,20 +195,24 @@ def _packages(facts: Facts, counts: DataFrame, p: Params) -> DataFrame:
 def _with_carrier(shipments: DataFrame, facts: Facts, p: Params) -> DataFrame:
     """Add the carrier's name; a shipment without one is dropped."""
     users = facts.users.select("userid", F.col("username").alias("carrier"))
-    if Card(facts.users, p.limits, facts.users.count()).small:
+    most = p.limits.broadcast_rows
+    if users.limit(most + 1).count() <= most:
         joined = shipments.join(F.broadcast(users), "userid")
     else:
         counts = matched_bids(facts.bids).groupBy("userid").agg(F.count("*").alias("deals"))
         users = users.join(counts, "userid")
-        joined = join_hot_keys(shipments, users, "userid", counts, "deals", p.limits)
+        joined = join_hot_keys(
+            shipments, users, "userid", counts, "deals", p.limits, facts.bid_rows
+        )
     return joined.drop("userid")
 
 
 def shipment_base(facts: Facts, cards: Cards, p: Params) -> DataFrame:
     """One row per matched bid of the partner's delivered shipments."""
     counts = bid_counts(facts.bids)
+    packages = _packages(facts, counts, p)
     shipments = join_hot_keys(
-        _deals(facts, p), _packages(facts, counts, p), "packageid", counts, "matched", p.limits
+        _deals(facts, p), packages, "packageid", counts, "matched", p.limits, facts.bid_rows
     )
     shipments = _with_carrier(shipments, facts, p)
     shipments = with_lagged_fuel(shipments, cards, p)
@@ -222,18 +225,17 @@ def shipment_base(facts: Facts, cards: Cards, p: Params) -> DataFrame:
 
 
 def with_zip_tier(df: DataFrame, cards: Cards) -> DataFrame:
-    """Add struct ``zip_tier``: the tier of the destination zip and that tier's amounts."""
+    """Add struct ``zip_tier``: the tier of the destination zip, and the amounts of its first
+    tier that has any, which may be another one if the zip is assigned several."""
     assigned, tiers = cards["zipcode_tier_assignments"], cards["zipcode_tiers_4_v6"]
     priced = equi_lookup(
         assigned.df, tiers, [("dtier", "tier")], ["surchargep", "surcharged"], "amounts"
-    )
-    return equi_lookup(
-        df,
-        assigned.derive(priced),
-        [(zip5(F.col("destinationzip")), "zip")],
-        ["dtier", "amounts"],
-        "zip_tier",
-    )
+    ).where("amounts is not null")
+    zip_code = zip5(F.col("destinationzip"))
+    df = equi_lookup(df, assigned, [(zip_code, "zip")], ["dtier"], "__tier")
+    df = equi_lookup(df, assigned.derive(priced), [(zip_code, "zip")], ["amounts"], "__priced")
+    both = F.struct(F.col("__tier.dtier"), F.col("__priced.amounts"))
+    return df.withColumn("zip_tier", both).drop("__tier", "__priced")
 
 
 def shipment_flags(df: DataFrame, cards: Cards) -> DataFrame:

@@ -13,14 +13,12 @@ class Limits:
     broadcast_rows: a side with at most this many rows may be broadcast.
     literal_rows: a band card with at most this many rows becomes one CASE expression.
     keyword_rows: a keyword card with at most this many rows becomes one literal array.
-    salts: copies of a side that is too large to broadcast, so that a hot key is spread.
     hot_rows: rows of one join key from which the key is split over several tasks.
     """
 
     broadcast_rows: int = 200_000
     literal_rows: int = 256
     keyword_rows: int = 4_000
-    salts: int = 32
     hot_rows: int = 1_000_000
 
 

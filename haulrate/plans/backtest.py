@@ -18,8 +18,9 @@ def run(
 
     Both results come from the written table, so the chain is computed once.
     """
-    cards = Cards.load(spark, cards_dir, p.limits)
-    priced = detail(price(load_facts(spark, facts_dir), cards, p), p)
+    cards, facts = Cards.load(spark, cards_dir, p.limits), load_facts(spark, facts_dir)
+    facts.check_keys()
+    priced = detail(price(facts, cards, p), p)
     priced.write.mode("overwrite").parquet(out_dir)
     saved = spark.read.parquet(out_dir)
     return saved, evaluation_summary(saved)

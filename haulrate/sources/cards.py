@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 from haulrate.params import Limits
-from haulrate.sources.schemas import schema_of
+from haulrate.sources.schemas import UNREAD, schema_of
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the declared columns, cast; a NULL in a NOT NULL column fails the job."""
+def conform(df: DataFrame, schema: T.StructType, optional: Collection[str] = ()) -> DataFrame:
+    """Exactly the declared columns, cast; a NULL in a NOT NULL column fails the job.
+
+    An absent column fails at once, as rules that read it would find nothing. Only ``id``, which
+    does no more than break ties, and ``optional`` columns are filled with NULL.
+    """
     given = {name.lower(): name for name in df.columns}
+    fillable = {field.name for field in schema if field.nullable} & {"id", *optional}
 
     def column(field: T.StructField) -> str:
         kind, name = field.dataType.simpleString(), field.name
         if name.lower() not in given:
-            if not field.nullable:
+            if name not in fillable:
                 raise ValueError(f"column {name!r} is required")
             return f"cast(NULL AS {kind}) AS `{name}`"
         value = f"cast(`{given[name.lower()]}` AS {kind})"
@@ -92,5 +97,7 @@ class Cards:
 
     def __getitem__(self, name: str) -> Card:
         if name not in self._cards:
-            self._cards[name] = Card(conform(self._read(name), schema_of(name)), self.limits)
+            optional = UNREAD.get(name, "").split()
+            rows = conform(self._read(name), schema_of(name), optional)
+            self._cards[name] = Card(rows, self.limits)
         return self._cards[name]

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from haulrate.sources.cards import conform
 from haulrate.sources.schemas import FACT_DDL, schema_of
 
 
@@ -22,12 +25,25 @@ class Facts:
     users: DataFrame
     rate_comparison: DataFrame
 
+    @cached_property
+    def bid_rows(self) -> int:
+        """All bids, counted once; a stored table knows the number without reading rows."""
+        return self.bids.count()
+
+    def check_keys(self) -> None:
+        """Fails if the tables that are joined by packageid hold one twice."""
+        for name in ("listing", "rate_comparison"):
+            rows = getattr(self, name).groupBy("packageid").agg(F.count("*").alias("n"))
+            if repeated := rows.where("n > 1 and packageid is not null").first():
+                raise ValueError(f"{name} holds packageid {repeated['packageid']} twice")
+
 
 def load_facts(spark: SparkSession, directory: str) -> Facts:
-    """Read one Parquet table per fact from a directory, with the declared schemas."""
+    """One Parquet table per fact in a directory; an absent column fails, and so does a NULL
+    where the schema has none."""
     return Facts(
         **{
-            name: spark.read.schema(schema_of(name)).parquet(f"{directory}/{name}")
+            name: conform(spark.read.parquet(f"{directory}/{name}"), schema_of(name))
             for name in FACT_DDL
         }
     )

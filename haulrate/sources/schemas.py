@@ -55,6 +55,19 @@ CARD_DDL = {
     "evaluation": "rating string, pct double, amount double, id int",
 }
 
+# Declared, but read by no pricing rule: a card may come without these columns.
+UNREAD = {
+    "zipcodes": "latitude longitude statefullname areacode city cbsa_name pmsa_name region "
+    "division",
+    "ppm_master": "avgmiles listings",
+    "fuelprices": "diesel",
+    "calendar": "mmdd day_week year_week week_start_date month_start_date month_end_date "
+    "day_year day_month day_quarter quarter_start_date quarter_end_date days_in_month "
+    "days_in_quarter weekday weekday_weekend ly_date_adjusted",
+    "zipcode_tier_assignments": "otier",
+    "bb_v6": "datecreatedutc dateupdatedutc",
+}
+
 # Declared, but read by no pricing rule.
 SPARE_CARD_DDL = {
     "rural_v6": "rural_rating int, rural_surcharged double, rural_surchargep double, id int",

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +79,8 @@ def fan_out(df: DataFrame, targets: Sequence[Table], load=append) -> DataFrame:
         try:
             load(source, target)
             status.append((target.name, rows, True))
+        except AnalysisException:  # wrong in the same way for every target
+            raise
         except Exception:
             log.exception("load into %s failed", target.name)
             status.append((target.name, 0, False))

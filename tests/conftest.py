@@ -8,7 +8,7 @@ from haulrate import Limits
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 # Every table too large to broadcast, every card too large for literals, every key hot.
-FORCED = Limits(broadcast_rows=0, literal_rows=0, keyword_rows=0, salts=4, hot_rows=1)
+FORCED = Limits(broadcast_rows=0, literal_rows=0, keyword_rows=0, hot_rows=1)
 
 
 @pytest.fixture(scope="session")
@@ -33,6 +33,10 @@ def sf_dir():
     return SF_DIR
 
 
-@pytest.fixture(params=["small", "forced"])
+# Tables small enough to broadcast, no card small enough for literals.
+BROADCAST = Limits(literal_rows=0, keyword_rows=0)
+
+
+@pytest.fixture(params=["small", "broadcast", "forced"])
 def limits(request):
-    return Limits() if request.param == "small" else FORCED
+    return {"small": Limits(), "broadcast": BROADCAST, "forced": FORCED}[request.param]

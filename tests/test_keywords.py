@@ -97,3 +97,9 @@ def test_whole_long_texts_are_searched(spark, limits):
     card = words(spark, limits, (1, "needle", 1.0, 1.0))
     df = shipments(spark, [(1, "x" * 50_000 + " Needle", [None], 1)])
     assert keyword_indexes(df, card).select(F.col("titlekeyword")).collect()[0][0] == "needle"
+
+
+def test_equal_ids_are_ordered_alike_at_every_size(spark, limits):
+    card = words(spark, limits, (1, "ring", 1.0, 1.0), (1, "old", 2.0, 2.0), (1, "gold", 0.0, None))
+    df = shipments(spark, [(1, "old gold ring", [None], 1)])
+    assert keyword_indexes(df, card, passes=1).collect()[0].titlekeyword == "gold / old / ring"

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from haulrate import Limits
 from haulrate.operators.lookups import band_lookup, equi_lookup, pair_band_lookup
 from haulrate.sources.cards import Card
 
@@ -79,3 +80,56 @@ def test_pair_bands_reach_ten_below_their_bound(spark, limits):
     )
     rates = [lane and lane.rate for _, lane in sorted(_values(found, "n", "lane").items())]
     assert rates == [None, 7.0, 7.0, 9.0, 9.0, None, 1.0, 1.0, None, None, None]
+
+
+def test_ties_without_ids_and_open_ends_do_not_depend_on_the_size(spark, limits):
+    inf = float("inf")
+    bands = [
+        (5.0, 10.0, 0.5),
+        (0.0, 10.0, 0.1),
+        (0.0, 10.0, 0.05),
+        (12.0, inf, 2.0),
+        (20.0, inf, 1.0),
+        (-inf, -1.0, 3.0),
+        (-inf, inf, 4.0),
+        (1e300, 1.5e300, 6.0),
+        (1e30, 1e30, 7.0),
+    ]
+    card = spark.createDataFrame(bands, "lo double, hi double, rate double")
+    values = [7.0, 3.0, 10.0, 11.0, 15.0, 25.0, -5.0, 1.2e300, 1e30, inf, -inf, None]
+    df = spark.createDataFrame(list(enumerate(values)), "n int, v double")
+    found = band_lookup(df, Card(card, limits), "v", "lo", "hi", ["rate"], "band")
+    rates = [band and band.rate for _, band in sorted(_values(found, "n", "band").items())]
+
+    def first(value):
+        inside = [(hi, lo, rate) for lo, hi, rate in bands if lo <= value <= hi]
+        return min(inside)[2]
+
+    assert rates == [None if value is None else first(value) for value in values]
+
+
+def test_a_hot_key_is_split_and_only_its_part_of_the_side_is_copied(spark):
+    """Adaptive execution measures the partitions: the plan that ran says so."""
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in sizes.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.col("id").cast("string"))
+        df = spark.range(60_000).repartition(16).select(key.alias("k"), F.rand(1).alias("v"))
+        names = spark.range(60_000).select(F.col("id").cast("string").alias("key"))
+        card = names.union(spark.sql("select 'hot'")).withColumn("x", F.length("key"))
+        card = Card(card.withColumn("id", F.lit(1)), Limits(broadcast_rows=0))
+        found = equi_lookup(df, card, [("k", "key")], ["x"], "hit")
+        assert len(found.where("hit.x = length(k)").collect()) == 60_000
+        found = found.select("k", "hit")
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)

@@ -136,7 +136,7 @@ def test_hot_keys_join_like_any_other(spark, hot_rows):
     counts = rows.groupBy("packageid").agg(F.count("*").alias("matched"))
     side = counts.where("packageid <> 4").withColumn("label", F.concat(F.lit("p"), "packageid"))
     limits = Limits(hot_rows=hot_rows)
-    joined = join_hot_keys(rows, side, "packageid", counts, "matched", limits)
+    joined = join_hot_keys(rows, side, "packageid", counts, "matched", limits, rows.count())
     expected = rows.join(side.drop("matched"), "packageid")
     assert sorted(joined.columns) == sorted(expected.columns)
     assert sorted(map(tuple, joined.collect())) == sorted(

@@ -7,8 +7,8 @@ import pytest
 from haulrate import Limits
 from haulrate.plans import backtest
 from haulrate.sources.cards import Cards, conform
-from haulrate.sources.facts import Facts
-from haulrate.sources.schemas import CARD_DDL, FACT_DDL, SPARE_CARD_DDL, schema_of
+from haulrate.sources.facts import Facts, load_facts
+from haulrate.sources.schemas import CARD_DDL, FACT_DDL, SPARE_CARD_DDL, UNREAD, schema_of
 from haulrate.sources.seeds import SIZE_RATING_VALUES, size_ratings
 from haulrate.sources.shared import shared_folder
 from haulrate.sources.sync import Table, append, extract, fan_out, full_refresh, pivot_fuel
@@ -30,8 +30,10 @@ def test_every_declared_schema_parses(spark):
         assert len(schema_of(name)) > 0
 
 
-def test_conform_orders_casts_and_fills(spark):
-    given = spark.createDataFrame([("7", "x", 1)], "SURCHARGEP string, spare string, minweight int")
+def test_conform_orders_and_casts_and_fills_the_tie_breaker(spark):
+    given = spark.createDataFrame(
+        [("7", "x", 1, None)], "SURCHARGEP string, spare string, minweight int, surcharged double"
+    )
     out = conform(given, schema_of("weight_v6"))
     assert out.dtypes == [("minweight", "int"), ("surcharged", "double"), ("surchargep", "double"), ("id", "int")]
     assert rows(out) == [(1, None, 7.0, None)]
@@ -39,10 +41,41 @@ def test_conform_orders_casts_and_fills(spark):
 
 def test_conform_rejects_nulls_and_missing_keys(spark):
     schema = schema_of("bb_v6")
+    amounts = "bb_surcharged double, bb_surchargep double, datecreatedutc timestamp, dateupdatedutc timestamp"
     with pytest.raises(ValueError, match="bb_rating"):
-        conform(spark.createDataFrame([(1.0,)], "bb_surcharged double"), schema)
+        conform(spark.createDataFrame([], amounts), schema)
     with pytest.raises(Exception, match="NULL in column bb_rating"):
-        conform(spark.createDataFrame([(None,)], "bb_rating int"), schema).collect()
+        given = spark.createDataFrame([(None, 1.0, 1.0, None, None)], f"bb_rating int, {amounts}")
+        conform(given, schema).collect()
+
+
+@pytest.mark.parametrize("name", CARD_DDL)
+def test_a_card_without_a_column_that_a_rule_reads_is_refused(spark, name):
+    schema, unread = schema_of(name), {"id", *UNREAD.get(name, "").split()}
+    whole = spark.createDataFrame([], schema)
+    for field in schema:
+        cards = Cards({name: whole.drop(field.name)})
+        if field.name in unread and field.nullable:
+            assert cards[name].df.columns == schema.names
+        else:
+            with pytest.raises(ValueError, match=field.name):
+                cards[name]
+
+
+def test_facts_without_a_column_or_with_a_package_twice_are_refused(spark, sf_dir, tmp_path):
+    facts = Bench(spark, sf_dir).facts
+    for name in FACT_DDL:
+        getattr(facts, name).write.parquet(str(tmp_path / name))
+    loaded = load_facts(spark, str(tmp_path))
+    loaded.check_keys()
+    twice = Facts(**{**vars(loaded), "listing": loaded.listing.union(loaded.listing)})
+    with pytest.raises(ValueError, match="listing holds packageid"):
+        twice.check_keys()
+    loaded.tracking.drop("delivereddate").write.parquet(str(tmp_path / "less" / "tracking"))
+    (tmp_path / "tracking").rename(tmp_path / "whole")
+    (tmp_path / "less" / "tracking").rename(tmp_path / "tracking")
+    with pytest.raises(ValueError, match="delivereddate"):
+        load_facts(spark, str(tmp_path))
 
 
 def test_fuel_pivot_keeps_dates_strictly_after_the_window_start(spark):
