@@ -13,9 +13,11 @@ from haulrate.operators import base_rate, evaluate, keywords, shipments, surchar
 from haulrate.operators.fuel import fuel_weekly
 from haulrate.operators.lookups import band_lookup, equi_lookup
 from haulrate.params import Limits, Params
-from haulrate.plans import pricing
+from haulrate.plans import backtest, pricing
 from haulrate.sources.cards import Card, Cards
 from haulrate.sources.facts import Facts
+from haulrate.sources.schemas import CARD_DDL, FACT_DDL
+from haulrate.sources.seeds import SIZE_RATING_VALUES, size_ratings
 from haulrate.sources.shared import shared_folder
 from haulrate.sources.sync import (
     FUEL_SERIES,
@@ -366,6 +368,60 @@ def _band_lookup(b: Bench) -> DataFrame:
     )
 
 
+def _band_lookup_many(b: Bench) -> DataFrame:
+    """Every line item in as many bands as there are orders; they overlap, and have no ids."""
+    low = F.col("o_totalprice")
+    bands = b.table("orders").select(
+        low.alias("low"),
+        (low + (F.col("o_orderkey") % 50) * 10).alias("high"),
+        F.col("o_orderpriority").alias("label"),
+    )
+    found = band_lookup(
+        b.table("lineitem"),
+        Card(bands, b.limits),
+        "l_extendedprice",
+        "low",
+        "high",
+        ["low", "label"],
+        "band",
+    )
+    return found.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        F.col("band.low").alias("low"), F.col("band.label").alias("label"),
+    )
+
+
+def _size_rating_seeds(b: Bench) -> DataFrame:
+    """The seeds merged into ratings as large as the part table, stored a month ago."""
+    then = F.lit("2024-01-01").cast("timestamp_ntz")
+    rated = b.table("part").select(
+        (F.col("p_partkey") - 1).cast("int").alias("bb_rating"),
+        F.col("p_retailprice").alias("bb_surcharged"),
+        F.lit(0.5).alias("bb_surchargep"),
+        then.alias("datecreatedutc"),
+        then.alias("dateupdatedutc"),
+    )
+    merged = upsert(
+        rated, size_ratings(b.spark), ["bb_rating"], SIZE_RATING_VALUES, datetime(2024, 2, 1)
+    )
+    version = b.stored("size_ratings")
+    full_refresh(merged, version)
+    return extract(b.spark, version)
+
+
+def _backtest_job(b: Bench) -> DataFrame:
+    """Facts and cards written, loaded by the job, priced, saved and read back."""
+    root = shared_folder(b.spark, "job")
+    for name in FACT_DDL:
+        getattr(b.facts, name).write.parquet(f"{root}/facts/{name}")
+    for name in CARD_DDL:
+        b.cards[name].df.write.parquet(f"{root}/cards/{name}")
+    saved, _ = backtest.run(b.spark, f"{root}/facts", f"{root}/cards", f"{root}/out", b.params)
+    return _of_shipments(
+        saved, "rate_engine_prediction", "matchprice", "toohigh", "toolow", "good"
+    )
+
+
 QUERIES: dict[str, Callable[[Bench], DataFrame]] = {
     "package_quantity": _package_quantity,
     "item_slots": _item_slots,
@@ -423,6 +479,9 @@ QUERIES: dict[str, Callable[[Bench], DataFrame]] = {
     "ratecard_upsert": _ratecard_upsert,
     "equi_lookup": _equi_lookup,
     "band_lookup": _band_lookup,
+    "band_lookup_many": _band_lookup_many,
+    "size_rating_seeds": _size_rating_seeds,
+    "backtest_job": _backtest_job,
 }
 
 

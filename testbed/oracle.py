@@ -651,7 +651,34 @@ BODIES = {
             from (select *, row_number() over () as n from lineitem) l
             left join bands on l_extendedprice between low and high)
         where place = 1""",
+    "band_lookup_many": """
+        with bands as (
+            select o_totalprice as low, o_totalprice + (o_orderkey % 50) * 10 as high,
+                   o_orderpriority as label
+            from orders),
+        lines as (select *, row_number() over () as n from lineitem),
+        hits as (
+            select n, min({'high': high, 'low': low, 'label': label}) as band
+            from lines join bands on l_extendedprice >= low and l_extendedprice <= high
+            group by n)
+        select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+               band.low as low, band.label as label
+        from lines left join hits using (n)""",
+    "size_rating_seeds": """
+        with seeds(rating, surcharged, surchargep) as (values
+            (0, 0.0::double, 0.0::double), (1, 0.0, 0.1), (2, 0.0, 0.18)),
+        stored as (select cast(p_partkey - 1 as integer) as rating, p_retailprice from part)
+        select coalesce(r.rating, s.rating) as bb_rating,
+               case when s.rating is null then p_retailprice else surcharged end
+                   as bb_surcharged,
+               case when s.rating is null then 0.5 else surchargep end as bb_surchargep,
+               case when r.rating is null then timestamp '2024-02-01'
+                    else timestamp '2024-01-01' end as datecreatedutc,
+               case when s.rating is null then timestamp '2024-01-01'
+                    else timestamp '2024-02-01' end as dateupdatedutc
+        from stored r full join seeds s on r.rating = s.rating""",
 }
+BODIES["backtest_job"] = BODIES["evaluation_flags"]
 
 
 def oracle_sql() -> dict[str, str]:

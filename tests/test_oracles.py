@@ -31,6 +31,7 @@ WITH_ANOTHER_WAY = [
     "priced_shipments",
     "equi_lookup",
     "band_lookup",
+    "band_lookup_many",
 ]
 
 
