@@ -665,18 +665,18 @@ BODIES = {
                band.low as low, band.label as label
         from lines left join hits using (n)""",
     "size_rating_seeds": """
-        with seeds(rating, surcharged, surchargep) as (values
+        with seeds(size_no, surcharged, surchargep) as (values
             (0, 0.0::double, 0.0::double), (1, 0.0, 0.1), (2, 0.0, 0.18)),
-        stored as (select cast(p_partkey - 1 as integer) as rating, p_retailprice from part)
-        select coalesce(r.rating, s.rating) as bb_rating,
-               case when s.rating is null then p_retailprice else surcharged end
+        stored as (select cast(p_partkey - 1 as integer) as size_no, p_retailprice from part)
+        select coalesce(t.size_no, s.size_no) as bb_rating,
+               case when s.size_no is null then p_retailprice else surcharged end
                    as bb_surcharged,
-               case when s.rating is null then 0.5 else surchargep end as bb_surchargep,
-               case when r.rating is null then timestamp '2024-02-01'
+               case when s.size_no is null then 0.5 else surchargep end as bb_surchargep,
+               case when t.size_no is null then timestamp '2024-02-01'
                     else timestamp '2024-01-01' end as datecreatedutc,
-               case when s.rating is null then timestamp '2024-01-01'
+               case when s.size_no is null then timestamp '2024-01-01'
                     else timestamp '2024-02-01' end as dateupdatedutc
-        from stored r full join seeds s on r.rating = s.rating""",
+        from stored t full join seeds s on t.size_no = s.size_no""",
 }
 BODIES["backtest_job"] = BODIES["evaluation_flags"]
 
