@@ -281,7 +281,10 @@ def differing_bits(a: bytes, b: bytes) -> int:
 
 
 def _sent(rows: DataFrame) -> DataFrame:
-    """Written rows, which a join sends to all tasks if they are counted to be few enough."""
+    """Written rows, which a join sends to all tasks if they are counted to be few enough.
+
+    Otherwise the join shuffles both sides itself, so hot keys can be split as it runs.
+    """
     rows = staged(rows, "few")
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
@@ -350,7 +353,7 @@ def _longest_lists(lists: DataFrame) -> DataFrame:
     """Each node with the longest list it stands in."""
     sizes = lists.groupBy("token").agg(F.count("*").alias("rows"))
     longest = F.max(F.struct("rows", "token")).alias("home")
-    homes = lists.join(sizes, "token").groupBy("node").agg(longest, F.first("n").alias("n"))
+    homes = lists.join(_sent(sizes), "token").groupBy("node").agg(longest, F.first("n").alias("n"))
     return homes.select("node", "n", F.col("home.token").alias("group"))
 
 
@@ -400,7 +403,7 @@ def _may_be(a: int, b: int, x: bytes, y: bytes, percent: int) -> bool:
 def _candidates(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of different components that share a list and that no bound rules out."""
     sizes = rows.groupBy("token").agg(F.count("*").alias("rows"))
-    blocks = rows.join(sizes, "token").withColumn("blocks", F.ceil(F.col("rows") / PART_ROWS))
+    blocks = rows.join(_sent(sizes), "token").withColumn("blocks", F.ceil(F.col("rows") / PART_ROWS))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     blocks = (
         blocks.withColumn("own", own)
@@ -545,7 +548,7 @@ def _open(lists: DataFrame, labels: DataFrame, more_than: int) -> DataFrame:
         .where((F.col("low") != F.col("high")) & (F.col("rows") > more_than))
         .select("token")
     )
-    return labelled.join(several, "token")
+    return labelled.join(_sent(several), "token")
 
 
 def _few(rows: DataFrame) -> DataFrame:

@@ -39,6 +39,9 @@ from haulrate.sources.shared import shared_folder
 
 BLOCK_TOKENS = 1 << 21
 SPREAD = 16
+#: Texts that a shard is made of on average, and the most files of each kind.
+SHARD_ROWS = 4096
+MOST_SHARDS = 20_000
 SMALL = 255
 END = np.uint64(0x5DEECE66D1234567)
 START = np.uint64(0x2545F4914F6CDD1D)
@@ -275,7 +278,8 @@ def _folder(spark: SparkSession) -> str:
 def train(docs: DataFrame) -> Model:
     """Counts all texts of ``docs`` and writes the arrays to the shared folder."""
     spark = docs.sparkSession
-    folder, shards = _folder(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder, least = _folder(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = min(MOST_SHARDS, max(least, docs.count() // SHARD_ROWS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
