@@ -72,25 +72,34 @@ def package_quantity(listing: DataFrame, bids: DataFrame, items: DataFrame) -> D
     return joined.select("packageid", (F.col("units") * F.col("matched")).alias("qty"))
 
 
-def item_slots(items: DataFrame, n: int = SLOTS) -> DataFrame:
-    """Items of rank 1 to n side by side, as array ``slots``; one pass and one shuffle.
+def items_by_package(items: DataFrame, n: int = SLOTS) -> DataFrame:
+    """Items of rank 1 to n side by side, as array ``slots``, and the sum of all unit counts, as
+    ``units``; one pass and one shuffle.
 
     Values stay as the source text. Two items of one package with the same rank are an error.
     """
     values = F.struct("title", "unitcount", "length", "height", "width", "weight")
-    ranked = items.where(F.col("rank").between(1, n)).select(
-        "packageid", "rank", values.alias("item")
-    )
+    ranked = items.select("packageid", "rank", "unitcount", values.alias("item"))
     names = [f"item{k}" for k in range(1, n + 1)]
     picks = [
         F.max(F.when(F.col("rank") == k, F.col("item"))).alias(name)
         for k, name in enumerate(names, 1)
     ]
-    packed = ranked.groupBy("packageid").agg(F.count("*").alias("given"), *picks)
+    packed = ranked.groupBy("packageid").agg(
+        F.sum(F.col("unitcount").cast("double")).alias("units"),
+        F.count(F.when(F.col("rank").between(1, n), 1)).alias("given"),
+        *picks,
+    )
     kept = sum((F.col(name).isNotNull().cast("int") for name in names), F.lit(0))
     problem = F.raise_error(F.concat(F.lit("item ranks repeat in package "), "packageid"))
     checked = F.when(F.col("given") == kept, F.array(*names)).otherwise(problem)
-    return packed.select("packageid", checked.alias("slots"))
+    return packed.select("packageid", checked.alias("slots"), "units")
+
+
+def item_slots(items: DataFrame, n: int = SLOTS) -> DataFrame:
+    """The ``slots`` of the packages that have an item of rank 1 to n."""
+    ranked = items.where(F.col("rank").between(1, n))
+    return items_by_package(ranked, n).select("packageid", "slots")
 
 
 def slot(k: int, field: str) -> Column:
@@ -185,8 +194,7 @@ def _packages(facts: Facts, counts: DataFrame, p: Params) -> DataFrame:
     joined = (
         listing.join(compared, "packageid")
         .join(counts, "packageid")
-        .join(item_slots(facts.items), "packageid", "left")
-        .join(item_totals(facts.items), "packageid", "left")
+        .join(items_by_package(facts.items), "packageid", "left")
     )
     quantity = F.when(F.col("countable"), F.col("units") * F.col("matched"))
     return joined.withColumn("totalqty", quantity).drop("countable", "units")
