@@ -44,12 +44,12 @@ from haulrate.sources.shared import staged
 WORDS = 5
 PERCENT = 80
 #: Most frequent shingles whose order is known; others come before them, by hash.
-MOST_HINTS = 1 << 22
+MOST_HINTS = 1 << 21
 #: Up to so many ids are sent to all tasks; more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
 #: All pairs of a list of at most so many rows are candidates at once.
 SHORT_LIST = 16
-COUNT_BLOCK = 1 << 22
+COUNT_BLOCK = 1 << 21
 #: Rows of a frequent list that go to one task, and the shingles of one group of sets.
 PART_ROWS = 4096
 GROUP_SHINGLES = 1 << 18
@@ -88,8 +88,12 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
     """Rows of two kinds: every document with its node, and the counts of shingles in blocks."""
 
     def counts(block: list[np.ndarray]) -> pa.RecordBatch:
-        tokens, n = np.unique(np.concatenate(block), return_counts=True)
-        tokens, n = tokens[n > 1].view(np.int64), n[n > 1]
+        every = np.concatenate(block)
+        block.clear()
+        every.sort()
+        again = every[1:][every[1:] == every[:-1]]
+        tokens, n = np.unique(again, return_counts=True)
+        tokens, n = tokens.view(np.int64), n + 1
         none = pa.nulls(len(tokens), pa.int64())
         return pa.RecordBatch.from_arrays(
             [none, none, none, none, pa.array(tokens), pa.array(n.astype(np.int64))],
@@ -116,7 +120,7 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
             )
             if held > COUNT_BLOCK:
                 yield counts(block)
-                block, held = [], 0
+                held = 0
         if block:
             yield counts(block)
 
