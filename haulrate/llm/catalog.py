@@ -1,7 +1,9 @@
-"""The registered queries of the operators, over whole tables, and their SQL where SQL can say it."""
+"""The registered queries of the operators, over whole tables, and SQL where it can say the same."""
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +30,8 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic")))
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.score(docs, toxicity.fit(docs, labels))
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +79,8 @@ QUERIES = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
-_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+_LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
 
 ORACLE_SQL = {
     "op1_exact_dedup": f"""

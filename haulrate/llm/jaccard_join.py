@@ -228,9 +228,9 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
 def _met(postings: DataFrame, percent: int) -> DataFrame:
     """What shares a list: pairs of nodes (``node``, ``other``) of short lists that size and
     position let pass, and the rows of long lists, whose ``other`` is null."""
-    schema = pa.schema(
-        [("token", "int64"), ("node", "int64"), ("n", "int32"), ("pos", "int32"), ("other", "int64")]
-    )
+    whole, short = pa.int64(), pa.int32()
+    fields = [("token", whole), ("node", whole), ("n", short), ("pos", short), ("other", whole)]
+    schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in _runs(batches, ["token", "part"]):
@@ -386,8 +386,8 @@ def _links_in_groups(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFra
 
 def _not_ruled_out(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bitmaps do not differ in too many bits."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("y"))
+    bitmaps = sets.select("node", "n", "bitmap")
+    left, right = bitmaps.toDF("a", "na", "x"), bitmaps.toDF("b", "nb", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches, 1024):
@@ -407,7 +407,8 @@ def _may_be(a: int, b: int, x: bytes, y: bytes, percent: int) -> bool:
 def _candidates(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of different components that share a list and that no bound rules out."""
     sizes = rows.groupBy("token").agg(F.count("*").alias("rows"))
-    blocks = rows.join(_sent(sizes), "token").withColumn("blocks", F.ceil(F.col("rows") / PART_ROWS))
+    blocks = rows.join(_sent(sizes), "token")
+    blocks = blocks.withColumn("blocks", F.ceil(F.col("rows") / PART_ROWS))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     blocks = (
         blocks.withColumn("own", own)
@@ -558,10 +559,10 @@ def _open(lists: DataFrame, labels: DataFrame, more_than: int) -> DataFrame:
 def _few(rows: DataFrame) -> DataFrame:
     """A few rows of each component in each list."""
     picks = [
-        F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n", "pos"))
+        F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n", "pos")).alias(f"p{k}")
         for k in range(REPRESENTATIVES)
     ]
-    grouped = rows.groupBy("token", "component").agg(*[p.alias(f"p{k}") for k, p in enumerate(picks)])
+    grouped = rows.groupBy("token", "component").agg(*picks)
     named = [
         F.struct(*[F.col(f"p{k}.{c}").alias(c) for c in ("node", "n", "pos")])
         for k in range(REPRESENTATIVES)

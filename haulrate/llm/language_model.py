@@ -352,7 +352,8 @@ class Scorer:
     def word_values(self, words: np.ndarray) -> np.ndarray:
         """For rising words: count, words it follows, words that follow it once, twice, more."""
         found = np.zeros((5, len(words)), np.int64)
-        for k, part in _by_shard(_word_shard(words >> _CUT, self._model.shards), self._model.shards):
+        shards = self._model.shards
+        for k, part in _by_shard(_word_shard(words >> _CUT, shards), shards):
             arrays = self._file(self._words, "words", k, _WORD_TYPES)
             if arrays is None:
                 continue

@@ -99,8 +99,9 @@ def pack_rows(rows: list[tuple], capacity: int, per_source: int) -> list[tuple]:
         for part in range(full):
             placed.append((doc_id, part, part * capacity, capacity, bins.open_bin(), 0))
         rest = length - full * capacity
-        last.append((-rest, doc_id is None, doc_id or 0, source or "", cluster, doc_id, full, source))
-    for negative, _, _, _, cluster, doc_id, part, source in sorted(last, key=lambda x: x[:5]):
+        order = (-rest, doc_id is None, doc_id or 0, source or "", cluster)
+        last.append((order, cluster, doc_id, full, source))
+    for (negative, *_), cluster, doc_id, part, source in sorted(last, key=lambda x: x[0]):
         where = bins.put(-negative, sources[source], bits.get(cluster, 0))
         placed.append((doc_id, part, part * capacity, -negative, *where))
     return placed

@@ -281,7 +281,8 @@ def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
 
         return step
 
-    return map_texts(filled(docs), make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return map_texts(filled(docs), make, schema)
 
 
 def encoded(docs: DataFrame, model_path: str) -> DataFrame:

@@ -51,7 +51,8 @@ INSULTS = ("idiot", "moron", "scum", "trash", "loser", "stupid", "worthless", "p
 INSULTS += ("disgusting", "filth", "vermin", "imbecile", "arschloch", "idiota", "connard")
 THREATS = ("kill", "murder", "strangle", "shoot", "stab", "destroy", "umbringen", "matar", "tuer")
 TARGETS = ("you", "your", "yours", "he", "she", "they", "them", "him", "her", "people", "du")
-TARGETS += ("dich", "dein", "ihr", "euch", "tu", "toi", "vous", "ton", "usted", "ustedes", "vosotros")
+TARGETS += ("dich", "dein", "ihr", "euch", "tu", "toi", "vous", "ton", "usted", "ustedes")
+TARGETS += ("vosotros",)
 NEGATIONS = ("not", "no", "never", "isn't", "aren't", "don't", "nicht", "kein", "keine", "nie")
 NEGATIONS += ("pas", "jamais", "nunca", "jamás")
 REPORTS = ("said", "says", "called", "calls", "wrote", "quoted", "claimed", "sagte", "nannte")
