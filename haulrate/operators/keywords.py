@@ -77,10 +77,12 @@ def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
     probes = parts.select(ROW_ID, "part", letters).select(
         ROW_ID, "part", F.explode(pieces).alias("probe")
     )
-    sized = words.df.select(F.substring("needle", 1, GRAM).alias("gram"), F.struct("id", *FIELDS).alias("word"))
+    word = F.struct("id", *FIELDS).alias("word")
+    sized = words.df.select(F.substring("needle", 1, GRAM).alias("gram"), word)
     met = join_side(probes, sized, {"gram": F.col("probe")}, small=words.small, how="inner")
     hit = F.struct("part", "word")
-    met = met.groupBy(F.col(ROW_ID).alias("__row")).agg(F.sort_array(F.collect_list(hit)).alias("met"))
+    in_order = F.sort_array(F.collect_list(hit)).alias("met")
+    met = met.groupBy(F.col(ROW_ID).alias("__row")).agg(in_order)
     joined = df.join(met, F.col(ROW_ID) == F.col("__row"), "left")
 
     def of_part(k: int, text: Column) -> Column:

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulrate.functions import match_key
-from haulrate.params import Limits
 from haulrate.sources.cards import Card
 
 ROW_ID = "packagematchid"
