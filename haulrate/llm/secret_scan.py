@@ -7,8 +7,8 @@ assigns to it (constants propagate, through other names too), so a key that is d
 harmless name and used as a password is found where it is written. A literal's score is the weight
 of its most sensitive target name times how far its characters vary; placeholders score nothing.
 
-Defined cases: a null text is empty and has no spans. A method span that overlaps a base span is
-left out, as is a second one of the same place. Repeated rows give equal results; other columns are
+Defined cases: a null text is empty and has no spans. A method span that a base span covers wholly
+is left out, as is a second one of the same place; one that reaches beyond the base span stays. Repeated rows give equal results; other columns are
 not read; an empty table gives an empty result. Texts are read whole, whatever their length.
 """
 
@@ -162,7 +162,7 @@ def all_spans(text: str) -> tuple[list, list]:
     more = [
         (start, 3, end)
         for start, end in literal_spans(text)
-        if not any(start < e and s < end for s, _, e in base)
+        if not any(s <= start and end <= e for s, _, e in base)
     ]
     return base, sorted(base + more)
 
