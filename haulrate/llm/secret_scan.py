@@ -4,8 +4,10 @@ Base spans are the non-overlapping matches of three patterns. Beside them the te
 source or configuration: around each assignment sign stand a target name and a right side of
 literals and names joined by ``+``. A name on the right side stands for the literal that the text
 assigns to it (constants propagate, through other names too), so a key that is defined under a
-harmless name and used as a password is found where it is written. A literal's score is the weight
-of its most sensitive target name times how far its characters vary; placeholders score nothing.
+harmless name and used as a password is found where it is written. An unquoted right side that ends
+its line or element and that the text assigns nothing to, as in .env, INI, properties and YAML
+files, is a literal too. A literal's score is the weight of its most sensitive target name times
+how far its characters vary; placeholders score nothing.
 
 Defined cases: a null text is empty and has no spans. A method span that a base span covers wholly
 is left out, as is a second one of the same place; one that reaches beyond the base span stays. Repeated rows give equal results; other columns are
@@ -18,6 +20,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +73,9 @@ _TERM = re.compile(
     r"""|`([^`\n]{0,4096})`|([A-Za-z_$][A-Za-z0-9_$.]*)(?![A-Za-z0-9+/_=\-])"""
     r"""|([A-Za-z0-9+/_.=\-]{1,4096}))"""
 )
+#: What may stand in an unquoted value beside the characters of _TERM, and what ends it.
+_REST = re.compile(r"""[^\s"'`<>,;&{}()\[\]]*""")
+_VALUE_END = re.compile(r"""[ \t]*(?:[\r\n,;&}\]<]|\Z|[ \t](?:\#|//|[A-Za-z_][\w.\-]*[=:]))""")
 _PLUS = re.compile(r"[ \t]*\+[ \t]*(?=[\"'`A-Za-z_$])")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.\-]*)>[ \t]*([^<>\s]{1,4096})[ \t]*</\1>")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -106,8 +112,25 @@ def literal_score(literal: str, weight: float) -> float:
     return weight * min(1.0, entropy / ENOUGH_ENTROPY)
 
 
+@dataclass(frozen=True)
+class Name:
+    """A name on a right side, and its own span where it would be a literal if nothing defines it."""
+
+    text: str
+    span: tuple[int, int] | None = None
+
+
+def _unquoted(text: str, term: re.Match) -> Name | tuple[int, int]:
+    """A right side's only term, without quotes: up to the end of its line or element."""
+    kind = term.lastindex
+    start, end = term.start(kind), _REST.match(text, term.end()).end()
+    if not _VALUE_END.match(text, end):
+        return Name(term.group(4)) if kind == 4 else term.span(kind)
+    return Name(term.group(4), (start, end)) if kind == 4 else (start, end)
+
+
 def assignments(text: str) -> list[tuple[str, list]]:
-    """Pairs of a target name and its right side: literals as (start, end), names as text."""
+    """Pairs of a target name and its right side: literals as (start, end), and names."""
     pairs = []
     for sign in _SIGN.finditer(text):
         at, end = sign.span()
@@ -118,10 +141,13 @@ def assignments(text: str) -> list[tuple[str, list]]:
             continue
         terms, more = [], True
         while more and (term := _TERM.match(text, end)):
-            kind = term.lastindex
-            terms.append(term.group(4) if kind == 4 else term.span(kind))
-            end = term.end()
-            if more := _PLUS.match(text, end):
+            kind, end = term.lastindex, term.end()
+            more = _PLUS.match(text, end)
+            if kind >= 4 and not terms and not more:
+                terms.append(_unquoted(text, term))
+            else:
+                terms.append(Name(term.group(4)) if kind == 4 else term.span(kind))
+            if more:
                 end = more.end()
         if terms:
             pairs.append((target.group(1), terms))
@@ -146,12 +172,16 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
         todo, seen = list(terms), {name}
         while todo:
             term = todo.pop()
-            if isinstance(term, str):
-                if term in constants and term not in seen:
-                    seen.add(term)
-                    todo += constants[term]
-                continue
-            if literal_score(text[slice(*term)], weight) >= LEAST_SCORE:
+            if isinstance(term, Name):
+                known = term.text if term.text in constants else term.text.removeprefix("$")
+                if known in constants:
+                    if known not in seen:
+                        seen.add(known)
+                        todo += constants[known]
+                    if not term.span or text[slice(*term.span)] == term.text:
+                        continue
+                term = term.span
+            if term and literal_score(text[slice(*term)], weight) >= LEAST_SCORE:
                 found.add(term)
     return sorted(found)
 

@@ -105,3 +105,39 @@ def test_redact_takes_the_whole_literal(text, clean):
 
 def test_covered_literals_are_not_reported_twice():
     assert secret_scan.written(secret_scan.all_spans('secret = "abcdefgh" y')[1]) == "assign:0:18"
+
+
+@pytest.mark.parametrize(
+    "text, literals",
+    [
+        ("SECRET_KEY=abcDEF123456\n", ["abcDEF123456"]),
+        ("export DB_PASS=Zx81kkQw99 # local\nHOST=localhost", ["Zx81kkQw99"]),
+        ("DB_PASS=Zx81!kk#Qw\r\nA=1", ["Zx81!kk#Qw"]),
+        ("[db]\npwd = abcDEF123 \nport = 5432", ["abcDEF123"]),
+        ("db:\n  auth_key: s3cr3tValue99\n  port: 1", ["s3cr3tValue99"]),
+        ("{auth_key: s3cr3tValue99, port: 1}", ["s3cr3tValue99"]),
+        ("db.token_value = abcDEF123", ["abcDEF123"]),
+        ("Server=x;Pwd=Zx81kkQw99;Db=y", ["Zx81kkQw99"]),
+        ("SEED=Zx81kkQw99\nDB_PASS=$SEED\nauth_key: SEED", ["Zx81kkQw99"]),
+    ],
+)
+def test_unquoted_values(text, literals):
+    assert [text[start:end] for start, end in secret_scan.literal_spans(text)] == literals
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "auth_key = read_key()\n",
+        "auth_key = settings[name]\n",
+        "auth_key = first_part + second_part\n",
+        "The key: whatever follows in a sentence",
+        "auth_key=$(cat file_name)",
+    ],
+)
+def test_names_of_code_are_no_values(text):
+    assert secret_scan.literal_spans(text) == []
+
+
+def test_unquoted_values_are_redacted():
+    assert secret_scan._without("SECRET_KEY=abcDEF123456\nA=1", "[S]") == "SECRET_KEY=[S]\nA=1"
