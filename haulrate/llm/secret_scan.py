@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 from collections import Counter
 from dataclasses import dataclass
 
@@ -58,26 +59,26 @@ SENSITIVE = {
 LEAST_SCORE = 0.5
 LEAST_LITERAL = 6
 ENOUGH_ENTROPY = 3.0
-LONGEST_LITERAL = 4096
 PLACEHOLDERS = re.compile(
-    r"(?i)^(x+|\*+|\.+|-+|none|null|true|false|undefined|changeme|example|placeholder|todo"
-    r"|your[_-].*|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s)$"
+    r"(?i)(?:x+|\*+|\.+|-+|none|null|true|false|undefined|changeme|example|placeholder|todo"
+    r"|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s)$|your[_-]"
 )
 
 _HINTS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "salt", "signat")
 _SIGN = re.compile(r":=|=>|[:=]")
-_TARGET = re.compile(r"""([A-Za-z_$][A-Za-z0-9_$.\-]*)["'\]]{0,2}[ \t]*$""")
+_NAME_CHARS = string.ascii_letters + string.digits + "_$.-"
 _TARGET_CHARS = 96
 _TERM = re.compile(
-    r"""[ \t]*(?:[rbuf]{0,2}"((?:[^"\\\n]|\\.){0,4096})"|[rbuf]{0,2}'((?:[^'\\\n]|\\.){0,4096})'"""
-    r"""|`([^`\n]{0,4096})`|([A-Za-z_$][A-Za-z0-9_$.]*)(?![A-Za-z0-9+/_=\-])"""
-    r"""|([A-Za-z0-9+/_.=\-]{1,4096}))"""
+    r"""[ \t]*(?:[rbuf]{0,2}"((?:[^"\\\n]++|\\.)*+)"|[rbuf]{0,2}'((?:[^'\\\n]++|\\.)*+)'"""
+    r"""|`([^`\n]*+)`|([A-Za-z_$][A-Za-z0-9_$.]*)(?![A-Za-z0-9+/_=\-])"""
+    r"""|([A-Za-z0-9+/_.=\-]))"""
 )
-#: What may stand in an unquoted value beside the characters of _TERM, and what ends it.
+_RUN = re.compile(r"[A-Za-z0-9+/_.=\-]*")
+#: What may stand in an unquoted value beside the characters of _RUN, and what ends it.
 _REST = re.compile(r"""[^\s"'`<>,;&{}()\[\]]*""")
 _VALUE_END = re.compile(r"""[ \t]*(?:[\r\n,;&}\]<]|\Z|[ \t](?:\#|//|[A-Za-z_][\w.\-]*[=:]))""")
 _PLUS = re.compile(r"[ \t]*\+[ \t]*(?=[\"'`A-Za-z_$])")
-_ELEMENT = re.compile(r"<([A-Za-z_][\w.\-]*)>[ \t]*([^<>\s]{1,4096})[ \t]*</\1>")
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.\-]*)>[ \t]*([^<>\s]++)[ \t]*</\1>")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -107,9 +108,27 @@ def literal_score(literal: str, weight: float) -> float:
     """The name's weight, less for literals of few different characters."""
     if len(literal) < LEAST_LITERAL or PLACEHOLDERS.match(literal):
         return 0.0
-    counts = Counter(literal)
-    entropy = -sum(n / len(literal) * math.log2(n / len(literal)) for n in counts.values())
-    return weight * min(1.0, entropy / ENOUGH_ENTROPY)
+    return weight * min(1.0, entropy(Counter(literal), len(literal)) / ENOUGH_ENTROPY)
+
+
+def entropy(counts: Counter, total: int) -> float:
+    return -sum(n / total * math.log2(n / total) for n in counts.values())
+
+
+def scored_spans(text: str, weights: dict[tuple[int, int], float]) -> list[tuple[int, int]]:
+    """The spans whose literal scores enough; those with one end are counted in one pass."""
+    found, counts, counted, last = [], Counter(), 0, -1
+    for start, end in sorted(weights, key=lambda span: (span[1], -span[0])):
+        if end != last:
+            counts, counted, last = Counter(), end, end
+        counts.update(text[start:counted])
+        counted = start
+        if end - start < LEAST_LITERAL or PLACEHOLDERS.match(text, start, end):
+            continue
+        enough = min(1.0, entropy(counts, end - start) / ENOUGH_ENTROPY)
+        if weights[start, end] * enough >= LEAST_SCORE:
+            found.append((start, end))
+    return sorted(found)
 
 
 @dataclass(frozen=True)
@@ -120,37 +139,67 @@ class Name:
     span: tuple[int, int] | None = None
 
 
-def _unquoted(text: str, term: re.Match) -> Name | tuple[int, int]:
-    """A right side's only term, without quotes: up to the end of its line or element."""
-    kind = term.lastindex
-    start, end = term.start(kind), _REST.match(text, term.end()).end()
-    if not _VALUE_END.match(text, end):
-        return Name(term.group(4)) if kind == 4 else term.span(kind)
-    return Name(term.group(4), (start, end)) if kind == 4 else (start, end)
+class Unquoted:
+    """Where unquoted values of a text end; a run that several signs share is read once."""
+
+    def __init__(self, text: str):
+        self._text = text
+        self._runs = {_RUN: (0, 0), _REST: (0, 0)}
+        self._checked = (-1, False)
+
+    def _end(self, run: re.Pattern, at: int) -> int:
+        start, end = self._runs[run]
+        if not start <= at < end:
+            end = run.match(self._text, at).end()
+            self._runs[run] = (at, end)
+        return end
+
+    def run(self, start: int) -> tuple[int, int]:
+        return start, self._end(_RUN, start)
+
+    def value(self, start: int) -> tuple[int, int] | None:
+        """The value at ``start`` if it goes up to the end of its line or element."""
+        end = self._end(_REST, start)
+        if self._checked[0] != end:
+            self._checked = (end, bool(_VALUE_END.match(self._text, end)))
+        return (start, end) if self._checked[1] else None
+
+
+def _target(text: str, at: int) -> str:
+    """The name before a sign, with quotes or a bracket and blanks between; empty if none."""
+    while at and text[at - 1] in " \t":
+        at -= 1
+    for _ in range(2):
+        if at and text[at - 1] in "\"']":
+            at -= 1
+    size = _TARGET_CHARS
+    while not (before := text[max(0, at - size) : at]).rstrip(_NAME_CHARS) and size < at:
+        size *= 2
+    return before[len(before.rstrip(_NAME_CHARS)) :].lstrip(string.digits + ".-")
 
 
 def assignments(text: str) -> list[tuple[str, list]]:
     """Pairs of a target name and its right side: literals as (start, end), and names."""
-    pairs = []
+    pairs, unquoted = [], Unquoted(text)
     for sign in _SIGN.finditer(text):
         at, end = sign.span()
         if text[end : end + 1] in ("=", ":") or text[at - 1 : at] in ("=", "!", "<", ">", ":"):
             continue
-        target = _TARGET.search(text[max(0, at - _TARGET_CHARS) : at])
+        target = _target(text, at)
         if not target:
             continue
         terms, more = [], True
         while more and (term := _TERM.match(text, end)):
-            kind, end = term.lastindex, term.end()
+            kind, start = term.lastindex, term.start(term.lastindex)
+            span = unquoted.run(start) if kind == 5 else term.span(kind)
+            end = span[1] if kind == 5 else term.end()
             more = _PLUS.match(text, end)
-            if kind >= 4 and not terms and not more:
-                terms.append(_unquoted(text, term))
-            else:
-                terms.append(Name(term.group(4)) if kind == 4 else term.span(kind))
+            whole = unquoted.value(start) if kind >= 4 and not terms and not more else None
+            terms.append(Name(term.group(4), whole) if kind == 4 else whole or span)
             if more:
                 end = more.end()
         if terms:
-            pairs.append((target.group(1), terms))
+            pairs.append((target, terms))
     pairs += [(m.group(1), [m.span(2)]) for m in _ELEMENT.finditer(text)]
     return pairs
 
@@ -164,7 +213,7 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
     if not any(name_weight(name) for name, _ in pairs):
         return []
     constants = {name: terms for name, terms in pairs}
-    found = set()
+    weights = {}
     for name, terms in pairs:
         weight = name_weight(name)
         if not weight:
@@ -181,19 +230,21 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
                     if not term.span or text[slice(*term.span)] == term.text:
                         continue
                 term = term.span
-            if term and literal_score(text[slice(*term)], weight) >= LEAST_SCORE:
-                found.add(term)
-    return sorted(found)
+            if term:
+                weights[term] = max(weight, weights.get(term, 0.0))
+    return scored_spans(text, weights)
 
 
 def all_spans(text: str) -> tuple[list, list]:
     """Base spans, and base and method spans together, each by start and kind."""
     base = base_spans(text)
-    more = [
-        (start, 3, end)
-        for start, end in literal_spans(text)
-        if not any(s <= start and end <= e for s, _, e in base)
-    ]
+    more, at, reached = [], 0, -1
+    for start, end in literal_spans(text):
+        while at < len(base) and base[at][0] <= start:
+            reached = max(reached, base[at][2])
+            at += 1
+        if end > reached:
+            more.append((start, 3, end))
     return base, sorted(base + more)
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -141,3 +142,35 @@ def test_names_of_code_are_no_values(text):
 
 def test_unquoted_values_are_redacted():
     assert secret_scan._without("SECRET_KEY=abcDEF123456\nA=1", "[S]") == "SECRET_KEY=[S]\nA=1"
+
+
+LONG = "".join(chr(33 + k * k % 89) for k in range(6_000)).translate(str.maketrans("\"\\'`", "abcd"))
+LONG_PLAIN = hashlib.sha512(b"x").hexdigest().upper().replace("0", "z") * 60
+
+
+@pytest.mark.parametrize("quote", ['"', "'", "`"])
+def test_long_quoted_literals(quote):
+    text = f"auth_key = {quote}{LONG}{quote}\nport = 1"
+    assert secret_scan.literal_spans(text) == [(12, 12 + len(LONG))]
+    assert secret_scan._without(text, "[S]") == f"auth_key = {quote}[S]{quote}\nport = 1"
+
+
+@pytest.mark.parametrize("value", [LONG_PLAIN, "9" + LONG_PLAIN, LONG_PLAIN + "=="])
+def test_long_unquoted_literals(value):
+    assert len(value) > 4096
+    assert secret_scan._without(f"auth_key={value}\nA=1", "[S]") == "auth_key=[S]\nA=1"
+    assert secret_scan._without(f"<bearer>{value}</bearer>", "[S]") == "<bearer>[S]</bearer>"
+
+
+def test_long_names_and_blanks():
+    text = f'secret_{"of_" * 60}it{" " * 300}= "Zx81!kk#Qw"'
+    assert [text[a:b] for a, b in secret_scan.literal_spans(text)] == ["Zx81!kk#Qw"]
+
+
+@pytest.mark.parametrize(
+    "piece", ["key=", "your_key=", "key:", "key=a:", 'key="', "key='\\", "key = b + ", "token=abcdef ", "-key"]
+)
+def test_time_grows_with_the_length(piece):
+    start = time.process_time()
+    secret_scan.all_spans(piece * (300_000 // len(piece)) + " " * 1000)
+    assert time.process_time() - start < 8
