@@ -3,8 +3,9 @@
 Base spans are the non-overlapping matches of three patterns. Beside them the text is read as
 source or configuration: around each assignment sign stand a target name and a right side of
 literals and names joined by ``+``. A name on the right side stands for the literal that the text
-assigns to it (constants propagate, through other names too), so a key that is defined under a
-harmless name and used as a password is found where it is written. An unquoted right side that ends
+assigns to it (constants propagate, through other names too, each assignment of a name), so a key
+that is defined under a harmless name and used as a password is found where it is written. What
+``+`` joins is scored as a whole as well, and its pieces are reported. An unquoted right side that ends
 its line or element and that the text assigns nothing to, as in .env, INI, properties and YAML
 files, is a literal too. A literal's score is the weight of its most sensitive target name times
 how far its characters vary; placeholders score nothing.
@@ -20,8 +21,9 @@ import hashlib
 import math
 import re
 import string
+from bisect import bisect_left
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +79,8 @@ _RUN = re.compile(r"[A-Za-z0-9+/_.=\-]*")
 #: What may stand in an unquoted value beside the characters of _RUN, and what ends it.
 _REST = re.compile(r"""[^\s"'`<>,;&{}()\[\]]*""")
 _VALUE_END = re.compile(r"""[ \t]*(?:[\r\n,;&}\]<]|\Z|[ \t](?:\#|//|[A-Za-z_][\w.\-]*[=:]))""")
+#: As much of either end of a value as tells a placeholder.
+_ENDS = 16
 _PLUS = re.compile(r"[ \t]*\+[ \t]*(?=[\"'`A-Za-z_$])")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.\-]*)>[ \t]*([^<>\s]++)[ \t]*</\1>")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -179,7 +183,7 @@ def _target(text: str, at: int) -> str:
 
 
 def assignments(text: str) -> list[tuple[str, list]]:
-    """Pairs of a target name and its right side: literals as (start, end), and names."""
+    """Pairs of a target name and its right side, literals as (start, end) and names, as written."""
     pairs, unquoted = [], Unquoted(text)
     for sign in _SIGN.finditer(text):
         at, end = sign.span()
@@ -199,9 +203,163 @@ def assignments(text: str) -> list[tuple[str, list]]:
             if more:
                 end = more.end()
         if terms:
-            pairs.append((target, terms))
-    pairs += [(m.group(1), [m.span(2)]) for m in _ELEMENT.finditer(text)]
-    return pairs
+            pairs.append((at, target, terms))
+    pairs += [(m.start(), m.group(1), [m.span(2)]) for m in _ELEMENT.finditer(text)]
+    return [(name, terms) for _, name, terms in sorted(pairs, key=lambda pair: pair[0])]
+
+
+@dataclass(frozen=True)
+class Value:
+    """What scoring needs of a right side's text: it is as long as all constants in it together."""
+
+    length: int = 0
+    counts: Counter = field(default_factory=Counter)
+    head: str = ""
+    tail: str = ""
+
+    @staticmethod
+    def of(text: str) -> Value:
+        return Value(len(text), Counter(text), text[:_ENDS], text[-_ENDS:])
+
+    @staticmethod
+    def joined(parts: list[Value]) -> Value:
+        length, counts, head, tail = 0, Counter(), "", ""
+        for part in parts:
+            length += part.length
+            counts.update(part.counts)
+            head, tail = (head + part.head)[:_ENDS], (tail + part.tail)[-_ENDS:]
+        return Value(length, counts, head, tail)
+
+    def score(self, weight: float) -> float:
+        shown = self.head if self.length <= _ENDS else f"{self.head}\0{self.tail}"
+        if self.length < LEAST_LITERAL or PLACEHOLDERS.match(shown):
+            return 0.0
+        return weight * min(1.0, entropy(self.counts, self.length) / ENOUGH_ENTROPY)
+
+
+class Constants:
+    """All assignments of a text, by their place in it, and what names on right sides stand for."""
+
+    def __init__(self, text: str, pairs: list[tuple[str, list]]):
+        self._text, self._pairs = text, pairs
+        self._places: dict[str, list[int]] = {}
+        for k, (name, _) in enumerate(pairs):
+            self._places.setdefault(name, []).append(k)
+        self._values: dict[int, Value] = {}
+
+    def _known(self, term) -> str | None:
+        """The assigned name that a term is."""
+        if not isinstance(term, Name):
+            return None
+        return next((x for x in (term.text, term.text.removeprefix("$")) if x in self._places), None)
+
+    def _literal(self, term) -> tuple[int, int] | None:
+        """The span of a term that is a literal, or may be one."""
+        if not isinstance(term, Name):
+            return term
+        if term.span and self._known(term) and self._text[slice(*term.span)] == term.text:
+            return None
+        return term.span
+
+    def weights(self) -> dict[int, float]:
+        """The weight of the most sensitive name that each assignment reaches, by any way."""
+        own = [name_weight(name) for name, _ in self._pairs]
+        reached, followed = {}, set()
+        for weight in sorted({w for w in own if w}, reverse=True):
+            todo = [k for k, w in enumerate(own) if w == weight]
+            while todo:
+                k = todo.pop()
+                if k in reached:
+                    continue
+                reached[k] = weight
+                for name in map(self._known, self._pairs[k][1]):
+                    if name is not None and name not in followed:
+                        followed.add(name)
+                        todo += self._places[name]
+        return reached
+
+    def literals(self, weights: dict[int, float]) -> dict[tuple[int, int], float]:
+        """Every literal of those assignments with its weight."""
+        found = {}
+        for k, weight in weights.items():
+            for span in filter(None, map(self._literal, self._pairs[k][1])):
+                found[span] = max(weight, found.get(span, 0.0))
+        return found
+
+    def _meant(self, k: int) -> list[int | None]:
+        """Per term of assignment ``k`` the latest assignment of the name before it, else the next."""
+        meant = []
+        for name in map(self._known, self._pairs[k][1]):
+            places = self._places.get(name, [])
+            at = bisect_left(places, k)
+            after = [p for p in places[:2] if p != k]
+            meant.append(places[at - 1] if at else after[0] if after else None)
+        return meant
+
+    def _join(self, k: int, meant: list[int | None]) -> Value:
+        parts = []
+        for term, place in zip(self._pairs[k][1], meant):
+            if place is not None:
+                parts.append(self._values.get(place, Value()))
+            elif span := self._literal(term):
+                parts.append(Value.of(self._text[slice(*span)]))
+        return parts[0] if len(parts) == 1 else Value.joined(parts)
+
+    def _evaluate(self, k: int) -> None:
+        """The value of assignment ``k`` and of all it rests on; one in a circle is empty there."""
+        todo, opened = [k], set()
+        while todo:
+            k = todo[-1]
+            meant = self._meant(k) if k not in self._values else []
+            more = [p for p in meant if p is not None and p not in self._values and p not in opened]
+            if k in self._values or k in opened or not more:
+                self._values.setdefault(k, self._join(k, meant))
+                todo.pop()
+            opened.add(k)
+            todo += more if k not in self._values else []
+
+    def joined(self, weights: dict[int, float]) -> set[tuple[int, int]]:
+        """The pieces of joined right sides that score enough as a whole.
+
+        A name means its latest assignment before the right side, and each later one in turn (but
+        a name in its own assignment means the one before only). Right sides of names alone are
+        tried once; those with literals take time by the number of later assignments.
+        """
+        found, told, varied = set(), set(), set()
+        for k in sorted(weights):
+            own, terms = self._pairs[k]
+            if len(terms) < 2:
+                continue
+            names, meant = tuple(map(self._known, terms)), self._meant(k)
+            changes, key = [], (own, names, weights[k])
+            if any(map(self._literal, terms)) or key not in varied:
+                varied.add(key)
+                later = {n: self._places[n] for n in set(names) - {None, own}}
+                changes = sorted((p, n) for n, at in later.items() for p in at[bisect_left(at, k + 1) :])
+            for place, changed in [(None, None), *changes]:
+                if changed is not None:
+                    meant = [place if n == changed else p for n, p in zip(names, meant)]
+                for p in meant:
+                    if p is not None:
+                        self._evaluate(p)
+                if self._join(k, meant).score(weights[k]) >= LEAST_SCORE:
+                    found |= self._pieces(k, meant, told)
+        return found
+
+    def _pieces(self, k: int, meant: list[int | None], told: set[int]) -> set[tuple[int, int]]:
+        """The literals of a right side and of the assignments it means, without those told before."""
+        found, todo = set(), [(k, meant)]
+        while todo:
+            k, meant = todo.pop()
+            for term, place in zip(self._pairs[k][1], meant):
+                if place is None:
+                    span = self._literal(term)
+                    if span and span[0] < span[1]:
+                        found.add(span)
+                elif place not in told:
+                    told.add(place)
+                    todo.append((place, self._meant(place)))
+        return found
 
 
 def literal_spans(text: str) -> list[tuple[int, int]]:
@@ -212,27 +370,9 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
     pairs = assignments(text)
     if not any(name_weight(name) for name, _ in pairs):
         return []
-    constants = {name: terms for name, terms in pairs}
-    weights = {}
-    for name, terms in pairs:
-        weight = name_weight(name)
-        if not weight:
-            continue
-        todo, seen = list(terms), {name}
-        while todo:
-            term = todo.pop()
-            if isinstance(term, Name):
-                known = term.text if term.text in constants else term.text.removeprefix("$")
-                if known in constants:
-                    if known not in seen:
-                        seen.add(known)
-                        todo += constants[known]
-                    if not term.span or text[slice(*term.span)] == term.text:
-                        continue
-                term = term.span
-            if term:
-                weights[term] = max(weight, weights.get(term, 0.0))
-    return scored_spans(text, weights)
+    constants = Constants(text, pairs)
+    weights = constants.weights()
+    return sorted({*scored_spans(text, constants.literals(weights)), *constants.joined(weights)})
 
 
 def all_spans(text: str) -> tuple[list, list]:
