@@ -16,12 +16,14 @@ from haulrate.llm import (
     pieces,
     quality,
     secret_scan,
+    slack_packing,
     toxicity,
     url_filter,
 )
 from haulrate.llm.common import documents, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +68,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    return slack_packing.pack(documents(spark, sf_dir), path)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -77,6 +84,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scans": op9_secret_scans,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_slack_packing": op11_slack_packing,
 }
 
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
