@@ -1,17 +1,17 @@
-"""Ids of a tokenizer file that drops white space, as bytes, remembered by stretches and words.
+"""Ids of a tokenizer file that drops white space, as bytes, remembered by words.
 
-What such a tokenizer makes of a text is what it makes of the stretches between white space, one
-after the other. (A text with other white
-space than ASCII's, or with the name of a special token, goes to it whole.) A stretch is looked up among those already seen. A new one of letters, digits and
-ASCII signs alone is lowered and cut into words, which are looked up in turn; a new word goes to the
-library's merges, any other stretch to the whole tokenizer. So each id is one the library gave.
+What such a tokenizer makes of a text is what it makes of its words, one after the other. A text of
+ASCII and plain letters is lowered and cut into words here; each new word goes to the library's
+merges and is remembered, up to a fixed number. Of any other text the stretches between white space
+that are not plain go to the tokenizer itself; one with white space beyond ASCII's, or with the name
+of a special token, goes there whole. So each id is one the library gave.
 """
 
 from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
@@ -22,9 +22,12 @@ WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 PLAIN = "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7)]))
 #: White space to Python that the library may read otherwise.
 ODD_SPACE = r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
 ID_BYTES = 4
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 LONGEST = 64
+#: Texts are cut into words in blocks of about so many characters.
+BLOCK = 1 << 20
 
 
 def read_tokenizer(path: str) -> Tokenizer:
@@ -76,21 +79,31 @@ def id_codec(tokenizer: Tokenizer) -> Callable[[str], bytes]:
         tokens = model.tokenize(word.translate(as_bytes))
         return b"".join([packed[token.id] for token in tokens])
 
-    cut = WORDS.findall
-    word_ids = _Remembered(of_word).__getitem__
-
     def of_library(text: str) -> bytes:
         return _packed(tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def of_stretch(stretch: str) -> bytes:
-        if not (stretch.isascii() or plain(stretch)):
-            return of_library(stretch)
-        lowered = stretch.lower()
-        return word_ids(lowered) if lowered.isalpha() else b"".join(map(word_ids, cut(lowered)))
+    cut, of = WORDS.findall, _Remembered(of_word).__getitem__
 
-    of = _Remembered(of_stretch).__getitem__
+    def of_block(block: str) -> bytes:
+        if block.isascii() or plain(block):
+            return b"".join(map(of, cut(block.lower())))
+        if len(parts := block.split()) == 1:
+            return of_library(block)
+        return b"".join(map(of_block, parts))
 
     def encode(text: str) -> bytes:
-        return of_library(text) if unlike(text) else b"".join(map(of, text.split()))
+        if unlike(text):
+            return of_library(text)
+        return of_block(text) if len(text) <= BLOCK else b"".join(map(of_block, _blocks(text)))
 
     return encode
+
+
+def _blocks(text: str) -> Iterator[str]:
+    """The text in blocks that end before white space."""
+    start = 0
+    while start < len(text):
+        end = SPACE.search(text, start + BLOCK)
+        stop = end.start() if end else len(text)
+        yield text[start:stop]
+        start = stop
