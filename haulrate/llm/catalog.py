@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from haulrate.llm import (
     exact_dedup,
     fingerprints,
+    hard_negatives,
     jaccard_join,
     language_model,
     packing,
@@ -73,6 +74,10 @@ def op11_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slack_packing.pack(documents(spark, sf_dir), path)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -85,6 +90,7 @@ QUERIES = {
     "op9_secret_scans": op9_secret_scans,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_slack_packing": op11_slack_packing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
