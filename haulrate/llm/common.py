@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import string
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+T_ = TypeVar("T_")
 FOLDS = 5
 ROWS_AT_ONCE = 256
 
@@ -58,6 +62,17 @@ def bounded_sample(df: DataFrame, limit: int, *keys: str) -> DataFrame:
     return df.where(place < int(limit / rows * (1 << 30)))
 
 
+def once_per_process(key: tuple, make: Callable[[], T_]) -> T_:
+    """What ``make`` gives, made once in a Python worker and kept for its later tasks.
+
+    This package is sent to tasks by value, so it has no module of its own there to keep it in.
+    """
+    kept = sys.modules.setdefault("_haulrate_kept", ModuleType("_haulrate_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def map_texts(
     docs: DataFrame,
     make: Callable[[], Callable[[list[str]], dict[str, list]]],

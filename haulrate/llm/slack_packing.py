@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulrate.llm.common import filled
-from haulrate.llm.word_ids import ID_BYTES, id_codec, read_tokenizer
+from haulrate.llm.word_ids import ID_BYTES, read_tokenizer, word_codec
 from haulrate.sources.shared import staged
 
 CAPACITY = 2048
@@ -248,7 +248,7 @@ def _lengths(texts: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     width, end = capacity * ID_BYTES, END_ID.to_bytes(ID_BYTES, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = id_codec(read_tokenizer(tokenizer_path))
+        encode = word_codec(tokenizer_path)
         part = TaskContext.get().partitionId()
         seen, windows_seen = np.zeros(capacity, dtype=np.int64), 0
         for batch in batches:
@@ -316,7 +316,7 @@ def _digest_parts(
     end = END_ID.to_bytes(ID_BYTES, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = id_codec(read_tokenizer(tokenizer_path))
+        encode = word_codec(tokenizer_path)
         for batch in batches:
             rests = []
             for text in batch.column("text"):

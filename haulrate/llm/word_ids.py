@@ -16,6 +16,8 @@ from collections.abc import Callable, Iterator
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
+from haulrate.llm.common import once_per_process
+
 #: How the tokenizer cuts a lowered stretch into words.
 WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Letters that, beside ASCII, Python and the library lower and class alike; checked when loaded.
@@ -42,6 +44,11 @@ def read_tokenizer(path: str) -> Tokenizer:
     return tokenizer
 
 
+def word_codec(path: str) -> Callable[[str], bytes]:
+    """``id_codec`` of a file, with what it remembers kept for a worker's later tasks."""
+    return once_per_process(("word ids", path), lambda: id_codec(read_tokenizer(path)))
+
+
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
