@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from haulrate.llm import (
+    alignment,
     exact_dedup,
     fingerprints,
     hard_negatives,
@@ -24,6 +25,7 @@ from haulrate.llm import (
 from haulrate.llm.common import documents, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
@@ -74,6 +76,11 @@ def op11_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slack_packing.pack(documents(spark, sf_dir), path)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in (BYTE_TOKENIZER, PIECE_MODEL))
+    return alignment.alignment(documents(spark, sf_dir), *paths)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
 
@@ -90,6 +97,7 @@ QUERIES = {
     "op9_secret_scans": op9_secret_scans,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_slack_packing": op11_slack_packing,
+    "op12_alignment": op12_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
