@@ -16,19 +16,18 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulrate.functions import match_key
+from haulrate.operators.segments import inside, segments
 from haulrate.sources.cards import Card
 
 ROW_ID = "packagematchid"
 SALT = "__salt"
 PARTS = 1 << 16
-#: Level of bands without a finite width, and of bounds beyond any cell number.
-OPEN_LEVEL = 1 << 12
-MOST_CELLS = float(1 << 62)
+CELL = "__cell"
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -117,7 +116,7 @@ def band_lookup(
 ) -> DataFrame:
     """Add struct ``name`` with the columns ``take`` of the band lo <= value <= hi."""
     if card.literals is None:
-        return _band_join(df, card, value, lo, hi, take, name)
+        return _segment_join(df, card, value, lo, hi, take, name)
     types = {col: card.df.schema[col].dataType for col in take}
     bands = [row for row in card.literals if row[lo] is not None and row[hi] is not None]
     order = [hi, *_tie(card.df), lo, *take]
@@ -136,56 +135,24 @@ def _rank(value) -> tuple:
     return (value is not None, nan, 0 if value is None or nan else value)
 
 
-def _cell(value: Column, level: int | Column) -> Column:
-    """The number of the cell of size 2 ** level; 0 for all values of the open level."""
-    size = F.pow(F.lit(2.0), F.least(F.lit(level), F.lit(1023)))
-    place = value.cast("double") / size
-    numbered = F.when(F.abs(place) < MOST_CELLS, F.floor(place))
-    return F.when(F.lit(level) == OPEN_LEVEL, F.lit(0).cast("bigint")).otherwise(numbered)
-
-
-def _band_join(
+def _segment_join(
     df: DataFrame, card: Card, value: str, lo: str, hi: str, take: Sequence[str], name: str
 ) -> DataFrame:
-    """The same for a card of any size, as one equality join per level.
-
-    A band is filed under its level, the power of two not below its width, and under the few
-    cells of that size it touches; a band without a finite width is in the only cell of the open
-    level. The bands of a cell stand in the order in which they win, so each level gives its
-    first that holds the value, and the first of those wins.
-    """
-    width = F.col(hi).cast("double") - F.col(lo).cast("double")
-    far = F.greatest(F.abs(F.col(lo).cast("double")), F.abs(F.col(hi).cast("double")))
-    # Two more than the width's own power where the bounds are too far out to be numbered.
-    level = F.greatest(F.ceil(F.log2(F.greatest(width, F.lit(1.0)))), F.ceil(F.log2(far)) - 61)
-    closed = (far < float("inf")) & (width < float("inf"))
-    bands = card.df.where(F.col(lo) <= F.col(hi)).withColumn(
-        "__level", F.when(closed & (level < 1023), level.cast("int")).otherwise(OPEN_LEVEL)
-    )
-    order = [F.col(c).alias(f"__o{i}") for i, c in enumerate([hi, *_tie(card.df), lo, *take])]
-    band = F.struct(
-        *order, F.col(lo).alias("lo"), F.col(hi).alias("hi"), F.struct(*take).alias("values")
+    """The same for a card of any size: its bands as disjoint segments, of which a value meets at
+    most one, joined by the value's cell."""
+    order = [hi, *_tie(card.df), lo, *take]
+    found = card.prepared(
+        ("segments", lo, hi, *take), lambda: segments(card.df, lo, hi, list(take), order)
     )
-    # A double has about 1,100 exponents, so there are never more levels than that.
-    levels = sorted(row[0] for row in bands.select("__level").distinct().collect())
-    hits = []
-    for k, of in enumerate(levels):
-        touched = F.sequence(_cell(F.col(lo), of), _cell(F.col(hi), of))
-        side = (
-            bands.where(F.col("__level") == of)
-            .select(F.explode(touched).alias("__cell"), band.alias("band"))
-            .groupBy("__cell")
-            .agg(F.sort_array(F.collect_list("band")).alias(f"__bands{k}"))
-        )
-        probe = {"__cell": _cell(F.col(value), of)}
-        df = join_side(df, side, probe, small=card.small)
-        inside = F.filter(f"__bands{k}", lambda b: F.col(value).between(b["lo"], b["hi"]))
-        hits.append(F.get(inside, F.lit(0)))
-    if not hits:
+    if not found.count:
         nothing = card.df.select(F.struct(*take).alias("values")).schema["values"].dataType
         return df.withColumn(name, F.lit(None).cast(nothing))
-    first = F.array_min(F.array_compact(F.array(*hits)))
-    return df.withColumn(name, first["values"]).drop(*[f"__bands{k}" for k in range(len(hits))])
+    rows = found.rows.withColumnRenamed("values", name)
+    small = found.count <= card.limits.broadcast_rows
+    placed = df.withColumn(CELL, found.cell(F.col(value)))
+    meets = (placed[CELL] == rows["cell"]) & inside(placed[value], rows)
+    joined = placed.join(F.broadcast(rows) if small else rows, meets, "left")
+    return joined.select(*[placed[c] for c in df.columns], rows[name])
 
 
 def pair_band_lookup(
@@ -200,8 +167,9 @@ def pair_band_lookup(
 ) -> DataFrame:
     """Add struct ``name`` of the card row with equal keys and hi - width <= value <= hi.
 
-    ``hi`` is a whole number, so at most 2 * width + 1 different bands touch one cell of
-    ``width``; they form a short sorted array per key and cell.
+    The lowest upper bound wins, so of equal width each band keeps what lies above the bound
+    before it: disjoint segments, as ``hi`` is a whole number none longer than ``width``, which
+    touch at most two cells of that size.
     """
     keys = [f"__key{i}" for i in range(len(on))]
     named = card.df.withColumns(
@@ -212,23 +180,25 @@ def pair_band_lookup(
         [*keys, "__hi"],
         F.struct(*take),
         F.struct(*_tie(card.df), *take),
-        "__taken",
+        name,
         card.small,
     )
-    touched = F.sequence(
-        F.floor((F.col("__hi") - width) / width), F.floor(F.col("__hi") / width)
-    )
-    side = (
-        bands.withColumn("__cell", F.explode(touched))
-        .groupBy(*keys, "__cell")
-        .agg(F.sort_array(F.collect_list(F.struct("__hi", "__taken"))).alias("__bands"))
-    )
+    # Only bounds within the width matter, so a key's bounds are looked at by their cells.
+    cell = F.floor(F.col("__hi") / width)
+    near = bands.select(*keys, (cell + 1).alias(CELL), F.col("__hi").alias("__below"))
+    near = near.groupBy(*keys, CELL).agg(F.max("__below").alias("__below"))
+    by_cell = Window.partitionBy(*keys, CELL).orderBy("__hi")
+    bands = bands.withColumn(CELL, cell).join(near, [*keys, CELL], "left")
+    bands = bands.withColumn("__below", F.coalesce(F.lag("__hi").over(by_cell), F.col("__below")))
+    touched = F.sequence(F.floor((F.col("__hi") - width) / width), F.col(CELL))
+    side = bands.withColumn(CELL, F.explode(touched))
+
     probe = {
         key: _comparable(card.df, col, F.col(left)) for key, (left, col) in zip(keys, on)
     }
-    probe["__cell"] = F.floor(F.col(value) / width)
-    found = join_side(df, side, probe, small=card.small)
-    inside = F.filter(
-        "__bands", lambda band: F.col(value).between(band["__hi"] - width, band["__hi"])
-    )
-    return found.withColumn(name, F.get(inside, F.lit(0))["__taken"]).drop("__bands")
+    probe[CELL] = F.floor(F.col(value) / width)
+    band = F.col(value).between(side["__hi"] - width, side["__hi"])
+    only = band & (side["__below"].isNull() | (F.col(value) > side["__below"]))
+    equal = reduce(and_, [of == side[key] for key, of in probe.items()])
+    joined = df.join(F.broadcast(side) if card.small else side, equal & only, "left")
+    return joined.select(df["*"], side[name])

@@ -42,6 +42,7 @@ class Card:
         self.df = df
         self.limits = limits
         self._bound = rows
+        self._prepared: dict[tuple, object] = {}
 
     def rows_if_at_most(self, most: int) -> list[Row] | None:
         """The rows themselves, or None if there are more."""
@@ -73,6 +74,12 @@ class Card:
             raise ValueError(f"expected at most one row in card {self.df.columns}")
         return rows[0] if rows else None
 
+    def prepared(self, key: tuple, make: Callable[[], object]):
+        """What lookups make of the card, made once however often it is looked up."""
+        if key not in self._prepared:
+            self._prepared[key] = make()
+        return self._prepared[key]
+
     def derive(self, df: DataFrame, *others: Card) -> Card:
         """A card made from this one (and others); their rows together bound its size."""
         return Card(df, self.limits, self.rows + sum(card.rows for card in others))

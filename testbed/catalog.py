@@ -391,6 +391,35 @@ def _band_lookup_many(b: Bench) -> DataFrame:
     )
 
 
+def _band_lookup_open(b: Bench) -> DataFrame:
+    """Every line item in two bands per line item, a third of them open at one end."""
+    price, half = F.col("l_extendedprice"), F.col("half")
+    at = F.when(half == 0, price).otherwise(price * 0.75)
+    kind = (F.col("l_orderkey") + F.col("l_linenumber") + half) % 6
+    infinite = F.lit(float("inf"))
+    bands = (
+        b.table("lineitem")
+        .withColumn("half", F.explode(F.array(F.lit(0), F.lit(1))))
+        .select(
+            ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 2 + half).alias("id"),
+            F.when(kind == 0, -infinite).otherwise(at).alias("low"),
+            F.when(kind == 0, at)
+            .when(kind == 1, infinite)
+            .otherwise(at + F.col("l_partkey") % 40 * 5)
+            .alias("high"),
+            "l_suppkey",
+        )
+    )
+    take = ["low", "high", "l_suppkey"]
+    card = Card(bands, b.limits)
+    found = band_lookup(b.table("lineitem"), card, "l_extendedprice", "low", "high", take, "band")
+    return found.select(
+        "l_orderkey", "l_linenumber", "l_extendedprice",
+        F.col("band.low").alias("low"), F.col("band.high").alias("high"),
+        F.col("band.l_suppkey").alias("supplier"),
+    )
+
+
 def _size_rating_seeds(b: Bench) -> DataFrame:
     """The seeds merged into ratings as large as the part table, stored a month ago."""
     then = F.lit("2024-01-01").cast("timestamp_ntz")
@@ -480,6 +509,7 @@ QUERIES: dict[str, Callable[[Bench], DataFrame]] = {
     "equi_lookup": _equi_lookup,
     "band_lookup": _band_lookup,
     "band_lookup_many": _band_lookup_many,
+    "band_lookup_open": _band_lookup_open,
     "size_rating_seeds": _size_rating_seeds,
     "backtest_job": _backtest_job,
 }

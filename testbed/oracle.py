@@ -664,6 +664,38 @@ BODIES = {
         select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
                band.low as low, band.label as label
         from lines left join hits using (n)""",
+    "band_lookup_open": """
+        with halves as (
+            select *, (l_orderkey * 8 + l_linenumber) * 2 + half as id,
+                   (l_orderkey + l_linenumber + half) % 6 as kind,
+                   case half when 0 then l_extendedprice else l_extendedprice * 0.75::double end
+                       as price
+            from lineitem, (values (0), (1)) as t(half)),
+        closed as (
+            select id, price as low, price + l_partkey % 40 * 5 as high, l_suppkey
+            from halves where kind > 1),
+        below as (
+            select price as high, min(id) as id, arg_min(l_suppkey, id) as l_suppkey
+            from halves where kind = 0 group by price),
+        above as (
+            select low, min(first) over (order by low) as first from (
+                select price as low, min({'id': id, 'low': price, 's': l_suppkey}) as first
+                from halves where kind = 1 group by price)),
+        prices as (select distinct l_extendedprice as price from lineitem),
+        hits as (
+            select p.price, min({'high': high, 'id': id, 'low': low, 's': l_suppkey}) as band
+            from prices p join closed on p.price >= low and p.price <= high group by p.price
+            union all
+            select p.price, {'high': high, 'id': id, 'low': '-Infinity'::double, 's': l_suppkey}
+            from prices p asof join below on p.price <= below.high
+            union all
+            select p.price, {'high': 'Infinity'::double, 'id': first.id, 'low': first.low,
+                             's': first.s}
+            from prices p asof join above on p.price >= above.low),
+        firsts as (select price, min(band) as band from hits group by price)
+        select l_orderkey, l_linenumber, l_extendedprice, band.low as low, band.high as high,
+               band.s as supplier
+        from lineitem left join firsts on l_extendedprice = firsts.price""",
     "size_rating_seeds": """
         with seeds(size_no, surcharged, surchargep) as (values
             (0, 0.0::double, 0.0::double), (1, 0.0, 0.1), (2, 0.0, 0.18)),

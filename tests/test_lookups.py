@@ -1,6 +1,10 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from haulrate import Limits
+from haulrate.operators import segments
 from haulrate.operators.lookups import band_lookup, equi_lookup, pair_band_lookup
 from haulrate.sources.cards import Card
 
@@ -133,3 +137,64 @@ def test_a_hot_key_is_split_and_only_its_part_of_the_side_is_copied(spark):
     finally:
         for name in sizes:
             spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_segments_agree_with_looking_at_every_band(spark, seed, monkeypatch):
+    """Bounds that repeat, points, nested and open bands; cells and tree tiers of several sizes."""
+    monkeypatch.setattr(segments, "CELL_BOUNDS", (1, 4, 32)[seed])
+    monkeypatch.setattr(segments, "TIER", (2, 5, 10)[seed])
+    rng, inf = random.Random(seed), float("inf")
+    bands = []
+    for k in range(400):
+        low = rng.choice([float(rng.randrange(60)), rng.random() * 60])
+        high = low + rng.choice([0, 0.5, rng.randrange(3), rng.random() * 40])
+        low, high = rng.choice([(low, high)] * 4 + [(-inf, high), (low, inf), (None, high)])
+        bands.append((rng.randrange(300), low, high, f"b{k}"))
+    card = spark.createDataFrame(bands, "id int, lo double, hi double, label string")
+    bounds = [b for band in bands for b in band[1:3] if b is not None]
+    values = [*bounds, *(rng.random() * 110 - 5 for _ in range(300)), None, -inf, inf]
+    df = spark.createDataFrame(list(enumerate(values)), "n int, v double").repartition(5)
+    limits = Limits(literal_rows=0, broadcast_rows=(0, 200_000)[seed % 2])
+    found = band_lookup(df, Card(card, limits), "v", "lo", "hi", ["label"], "band")
+    labels = [band and band.label for _, band in sorted(_values(found, "n", "band").items())]
+
+    def first(value):
+        if value is None:
+            return None
+        order = [(hi, k, lo, label) for k, lo, hi, label in bands if lo is not None and lo <= value <= hi]
+        return min(order)[3] if order else None
+
+    assert labels == [first(value) for value in values]
+
+
+def test_segments_hold_each_value_once_and_gather_no_lists(spark):
+    """Open bands lie in every place, and yet no value meets two segments."""
+    inf = float("inf")
+    half = F.col("id") % 2 == 0
+    card = spark.range(3000).select(
+        "id",
+        F.when(half, F.lit(-inf)).otherwise(F.col("id") * 1.0).alias("lo"),
+        F.when(half, F.col("id") * 1.0).otherwise(F.lit(inf)).alias("hi"),
+    )
+    card = Card(card, Limits(literal_rows=0, broadcast_rows=0))
+    df = spark.range(6000).select((F.col("id") / 2).alias("v"))
+    found = band_lookup(df, card, "v", "lo", "hi", ["id"], "band")
+    assert found.count() == 6000
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "NestedLoop" not in plan
+    rows = card.prepared(("segments", "lo", "hi", "id"), None).rows
+    assert rows.groupBy("cell").count().agg(F.max("count")).first()[0] <= 2 * segments.CELL_BOUNDS
+    assert found.where("v >= 2998.5").select("band.id").distinct().collect()[0].id == 1
+
+
+def test_bands_of_dates_and_of_mixed_numbers(spark):
+    limits = Limits(literal_rows=0)
+    card = spark.sql("select date'2024-01-05' lo, date'2024-01-09' hi, 'a' label union all select date'2024-01-01', date'2024-01-05', 'b'")
+    df = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-10')) v")
+    found = band_lookup(df, Card(card, limits), "v", "lo", "hi", ["label"], "band")
+    assert [r.label for r in found.orderBy("v").select("band.label").collect()] == ["b"] * 5 + ["a"] * 4 + [None]
+    card = spark.sql("select 1 lo, 2.5D hi, 'a' label union all select 3, 4.0D, 'b'")
+    df = spark.sql("select explode(array(cast(1 as decimal(9,2)), 2.5, 2.51, 4)) v")
+    found = band_lookup(df, Card(card, limits), "v", "lo", "hi", ["label"], "band")
+    assert [r.label for r in found.orderBy("v").select("band.label").collect()] == ["a", "a", None, "b"]

@@ -32,6 +32,7 @@ WITH_ANOTHER_WAY = [
     "equi_lookup",
     "band_lookup",
     "band_lookup_many",
+    "band_lookup_open",
 ]
 
 
