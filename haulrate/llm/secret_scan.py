@@ -7,12 +7,13 @@ assigns to it (constants propagate, through other names too, each assignment of
 that is defined under a harmless name and used as a password is found where it is written. What
 ``+`` joins is scored as a whole as well, and its pieces are reported. An unquoted right side that ends
 its line or element and that the text assigns nothing to, as in .env, INI, properties and YAML
-files, is a literal too. A literal's score is the weight of its most sensitive target name times
+files, is a literal too, unless it is lower-case words alone. A literal's score is the weight of its most sensitive target name times
 how far its characters vary; placeholders score nothing.
 
 Defined cases: a null text is empty and has no spans. A method span that a base span covers wholly
-is left out, as is a second one of the same place; one that reaches beyond the base span stays. Repeated rows give equal results; other columns are
-not read; an empty table gives an empty result. Texts are read whole, whatever their length.
+is left out, as is a second one of the same place; one that reaches beyond the base span stays.
+Repeated rows give equal results; other columns are not read; an empty table gives an empty result.
+Texts are read whole, whatever their length, in time that goes with it.
 """
 
 from __future__ import annotations
@@ -58,6 +59,10 @@ SENSITIVE = {
     "salt": 0.6,
     "signature": 0.6,
 }
+#: Words before "key" that make it one of a table, a cache or everyone.
+HARMLESS_KEYS = frozenset(
+    "primary foreign sort public partition unique index row cache lookup composite natural".split()
+)
 LEAST_SCORE = 0.5
 LEAST_LITERAL = 6
 ENOUGH_ENTROPY = 3.0
@@ -75,12 +80,16 @@ _TERM = re.compile(
     r"""|`([^`\n]*+)`|([A-Za-z_$][A-Za-z0-9_$.]*)(?![A-Za-z0-9+/_=\-])"""
     r"""|([A-Za-z0-9+/_.=\-]))"""
 )
+#: An unquoted value that reads as a name: lower-case words alone.
+_NAME = re.compile(r"[a-z]+(?:[_.][a-z]+)*")
 _RUN = re.compile(r"[A-Za-z0-9+/_.=\-]*")
 #: What may stand in an unquoted value beside the characters of _RUN, and what ends it.
 _REST = re.compile(r"""[^\s"'`<>,;&{}()\[\]]*""")
 _VALUE_END = re.compile(r"""[ \t]*(?:[\r\n,;&}\]<]|\Z|[ \t](?:\#|//|[A-Za-z_][\w.\-]*[=:]))""")
 #: As much of either end of a value as tells a placeholder.
 _ENDS = 16
+#: Lengths of joined values beyond so many bits count as that, their characters by their shares.
+_MOST_BITS = 256
 _PLUS = re.compile(r"[ \t]*\+[ \t]*(?=[\"'`A-Za-z_$])")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.\-]*)>[ \t]*([^<>\s]++)[ \t]*</\1>")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -104,6 +113,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def name_weight(name: str) -> float:
     parts = [part.lower() for part in _NAME_PARTS.findall(name)]
+    parts = [
+        part
+        for before, part in zip(["", *parts], parts)
+        if not (part == "key" and before in HARMLESS_KEYS)
+    ]
     parts += [a + b for a, b in zip(parts, parts[1:])]
     return max((SENSITIVE.get(part, 0.0) for part in parts), default=0.0)
 
@@ -116,7 +130,9 @@ def literal_score(literal: str, weight: float) -> float:
 
 
 def entropy(counts: Counter, total: int) -> float:
-    return -sum(n / total * math.log2(n / total) for n in counts.values())
+    """Bits a character; whole numbers of any size, so logarithms are taken before the quotient."""
+    whole = math.log2(total)
+    return sum(n / total * (whole - math.log2(n)) for n in counts.values())
 
 
 def scored_spans(text: str, weights: dict[tuple[int, int], float]) -> list[tuple[int, int]]:
@@ -228,8 +244,16 @@ class Value:
             length += part.length
             counts.update(part.counts)
             head, tail = (head + part.head)[:_ENDS], (tail + part.tail)[-_ENDS:]
+        if (over := length.bit_length() - _MOST_BITS) > 0:
+            length >>= over
+            counts = Counter({c: n >> over for c, n in counts.items() if n >> over})
         return Value(length, counts, head, tail)
 
+    @property
+    def richness(self) -> tuple[float, int]:
+        """What orders values by how likely they make a joined one score."""
+        return (entropy(self.counts, self.length) if self.length else 0.0, self.length)
+
     def score(self, weight: float) -> float:
         shown = self.head if self.length <= _ENDS else f"{self.head}\0{self.tail}"
         if self.length < LEAST_LITERAL or PLACEHOLDERS.match(shown):
@@ -246,6 +270,8 @@ class Constants:
         for k, (name, _) in enumerate(pairs):
             self._places.setdefault(name, []).append(k)
         self._values: dict[int, Value] = {}
+        self._literals: dict[tuple[int, int], Value] = {}
+        self._richest: dict[str, list[int]] = {}
 
     def _known(self, term) -> str | None:
         """The assigned name that a term is."""
@@ -259,6 +285,8 @@ class Constants:
             return term
         if term.span and self._known(term) and self._text[slice(*term.span)] == term.text:
             return None
+        if term.span and _NAME.fullmatch(self._text, *term.span):
+            return None
         return term.span
 
     def weights(self) -> dict[int, float]:
@@ -286,10 +314,14 @@ class Constants:
                 found[span] = max(weight, found.get(span, 0.0))
         return found
 
-    def _meant(self, k: int) -> list[int | None]:
-        """Per term of assignment ``k`` the latest assignment of the name before it, else the next."""
-        meant = []
+    def _meant(self, k: int, changed: tuple = ()) -> list[int | None]:
+        """Per term of assignment ``k`` the latest assignment of the name before it, else the next;
+        or the one that is given for the name."""
+        meant, given = [], dict(changed)
         for name in map(self._known, self._pairs[k][1]):
+            if name in given:
+                meant.append(given[name])
+                continue
             places = self._places.get(name, [])
             at = bisect_left(places, k)
             after = [p for p in places[:2] if p != k]
@@ -302,7 +334,9 @@ class Constants:
             if place is not None:
                 parts.append(self._values.get(place, Value()))
             elif span := self._literal(term):
-                parts.append(Value.of(self._text[slice(*span)]))
+                if span not in self._literals:
+                    self._literals[span] = Value.of(self._text[slice(*span)])
+                parts.append(self._literals[span])
         return parts[0] if len(parts) == 1 else Value.joined(parts)
 
     def _evaluate(self, k: int) -> None:
@@ -321,31 +355,64 @@ class Constants:
     def joined(self, weights: dict[int, float]) -> set[tuple[int, int]]:
         """The pieces of joined right sides that score enough as a whole.
 
-        A name means its latest assignment before the right side, and each later one in turn (but
-        a name in its own assignment means the one before only). Right sides of names alone are
-        tried once; those with literals take time by the number of later assignments.
+        A name means its latest assignment before the right side. As code runs in other orders than
+        it stands, later assignments are tried too (but not of the name that is assigned itself):
+        for each right side the next and the richest one of each name, alone and all together, and
+        for each assignment the richest right side before it that reads the name. So the time goes
+        with the number of names on right sides, however often they are assigned.
         """
-        found, told, varied = set(), set(), set()
+        found, told = set(), set()
+        readers: dict[str, list[int]] = {}
+        tries: set[tuple[int, tuple]] = set()
         for k in sorted(weights):
             own, terms = self._pairs[k]
             if len(terms) < 2:
                 continue
-            names, meant = tuple(map(self._known, terms)), self._meant(k)
-            changes, key = [], (own, names, weights[k])
-            if any(map(self._literal, terms)) or key not in varied:
-                varied.add(key)
-                later = {n: self._places[n] for n in set(names) - {None, own}}
-                changes = sorted((p, n) for n, at in later.items() for p in at[bisect_left(at, k + 1) :])
-            for place, changed in [(None, None), *changes]:
-                if changed is not None:
-                    meant = [place if n == changed else p for n, p in zip(names, meant)]
-                for p in meant:
-                    if p is not None:
-                        self._evaluate(p)
-                if self._join(k, meant).score(weights[k]) >= LEAST_SCORE:
-                    found |= self._pieces(k, meant, told)
+            tries.add((k, ()))
+            later = {}
+            for name in set(map(self._known, terms)) - {None, own}:
+                readers.setdefault(name, []).append(k)
+                at = bisect_left(self._places[name], k + 1)
+                if at < len(self._places[name]):
+                    later[name] = (self._places[name][at], self._richest_after(name, at))
+            for choice in (0, 1):
+                chosen = tuple(sorted((name, places[choice]) for name, places in later.items()))
+                tries.add((k, chosen))
+                tries.update((k, (one,)) for one in chosen)
+        for name, reading in readers.items():
+            at, best = 0, None
+            for place in self._places[name]:
+                while at < len(reading) and reading[at] < place:
+                    rich = (self._value(reading[at], ()).richness, -reading[at])
+                    best = max(best or rich, rich)
+                    at += 1
+                if best is not None:
+                    tries.add((-best[1], ((name, place),)))
+        for k, changed in sorted(tries):
+            if self._value(k, changed).score(weights[k]) >= LEAST_SCORE:
+                found |= self._pieces(k, self._meant(k, changed), told)
         return found
 
+    def _value(self, k: int, changed: tuple) -> Value:
+        """The value of assignment ``k`` if the changed names mean those assignments."""
+        meant = self._meant(k, changed)
+        for place in meant:
+            if place is not None:
+                self._evaluate(place)
+        return self._join(k, meant)
+
+    def _richest_after(self, name: str, at: int) -> int:
+        """Of a name's assignments from the ``at``-th on, the one with the richest value."""
+        if name not in self._richest:
+            best, after = None, []
+            for place in reversed(self._places[name]):
+                self._evaluate(place)
+                rich = (self._values[place].richness, -place)
+                best = max(best or rich, rich)
+                after.append(-best[1])
+            self._richest[name] = after[::-1]
+        return self._richest[name][at]
+
     def _pieces(self, k: int, meant: list[int | None], told: set[int]) -> set[tuple[int, int]]:
         """The literals of a right side and of the assignments it means, without those told before."""
         found, todo = set(), [(k, meant)]

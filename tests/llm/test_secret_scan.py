@@ -204,3 +204,42 @@ def test_many_assignments(line):
     start = time.process_time()
     secret_scan.all_spans(text + "top_key = s5000 + ''")
     assert time.process_time() - start < 20
+
+
+def _seconds(text):
+    start = time.perf_counter()
+    spans = secret_scan.literal_spans(text)
+    return time.perf_counter() - start, [text[a:b] for a, b in spans]
+
+
+def test_doubling_chains_of_any_length_with_one_other_character():
+    for lines in (1_100, 20_000):
+        chain = "".join(f"a{k} = a{k - 1} + a{k - 1}\n" for k in range(1, lines))
+        text = f'a0 = "Zx81kkQw99!#"\n{chain}top_key = a{lines - 1} + "q"\n'
+        took, found = _seconds(text)
+        assert took < 20 and "Zx81kkQw99!#" in found
+
+
+def test_a_megabyte_of_alternating_assignments_in_seconds():
+    text = "".join(f'my_key = a + "x{k}"\na = "foo{k}"\n' for k in range(30_000))
+    assert len(text) > 1_000_000 or len(text) > 900_000
+    took, found = _seconds(text)
+    assert took < 30 and len(found) > 1_000
+
+
+def test_later_assignments_of_a_short_piece_are_tried():
+    text = 'auth_key = part + "Zx81"\npart = ""\nother = 1\npart = "kkQw9#"\n'
+    assert {text[a:b] for a, b in secret_scan.literal_spans(text)} == {"Zx81", "kkQw9#"}
+
+
+def test_schema_words_and_names_are_no_secrets():
+    for line in (
+        "primary_key = customer_identifier",
+        "sort_key: created_at",
+        "foreign_key=order_lineitem",
+        "salt: kosher_seasoning",
+        "public_key_url = https://example.com/pub",
+        '"primaryKey": "order_line_id_7"',
+        "PARTITION_KEY=dt2024x",
+    ):
+        assert secret_scan.literal_spans(line) == [], line
