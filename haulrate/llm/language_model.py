@@ -52,6 +52,7 @@ PACKED = "shard int, kind int, data binary"
 WORDS, PAIRS, FOLLOWED, FOLLOWERS, TOTALS = range(5)
 _PACKED = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 TOTAL_NAMES = ("tokens", "words", "pairs", "p1", "p2", "p3", "p4", "w1", "w2", "w3", "w4", "w3up")
+TOTAL_NAMES += ("pair_files", "word_files")
 
 
 @dataclass
@@ -61,6 +62,7 @@ class Model:
     folder: str
     shards: int
     totals: dict[str, int]
+    files: frozenset[str]
 
     def discounts(self, mark: str) -> np.ndarray:
         """What is taken from counts 0, 1, 2 and 3 or more."""
@@ -258,7 +260,8 @@ def _merge_words(folder: str):
         of = np.bincount(np.minimum(times, 5), minlength=6)
         totals = np.zeros(len(TOTAL_NAMES), np.int64)
         totals[:2] = counts.sum(), len(words)
-        totals[7:] = *of[1:5], (times > 2).sum()
+        totals[7:12] = *of[1:5], (times > 2).sum()
+        totals[12:] = (kinds == TOTALS).sum(), 1
         for k in np.flatnonzero(kinds == TOTALS):
             totals[2:7] += np.frombuffer(data[int(k)].as_py(), "<i8")
         return pa.table([[int(x)] for x in totals], names=list(TOTAL_NAMES))
@@ -302,7 +305,15 @@ def train(docs: DataFrame) -> Model:
     names = ", ".join(f"{name} bigint" for name in TOTAL_NAMES)
     totals = merged.groupBy("shard").applyInArrow(_merge_words(folder), names)
     sums = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTAL_NAMES]).first()
-    return Model(folder, shards, sums.asDict())
+    files = frozenset(name for name in os.listdir(folder) if "." not in name)
+    for kind in ("pair", "word"):
+        written = sum(name.startswith(f"{kind}s-") for name in files)
+        if written != sums[f"{kind}_files"]:
+            raise RuntimeError(
+                f"the driver sees {written} of {sums[f'{kind}_files']} {kind} files in {folder}: "
+                "spark.checkpoint.dir has to be mounted by the driver and all executors"
+            )
+    return Model(folder, shards, sums.asDict(), files)
 
 
 class Scorer:
@@ -316,8 +327,10 @@ class Scorer:
 
     def _file(self, held: dict, kind: str, shard: int, types: tuple) -> list[np.ndarray] | None:
         if shard not in held:
-            path = f"{self._model.folder}/{kind}-{shard}"
-            held[shard] = _mapped(path, *types) if os.path.exists(path) else None
+            # A shard that training wrote and this task cannot see is an error, no empty shard.
+            name = f"{kind}-{shard}"
+            there = name in self._model.files
+            held[shard] = _mapped(f"{self._model.folder}/{name}", *types) if there else None
         return held[shard]
 
     def pair_counts(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:

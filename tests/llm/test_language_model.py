@@ -1,3 +1,4 @@
+import os
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -103,3 +104,15 @@ def test_chances_add_up(docs):
     counts, chance, _ = plain_model(["a b a b c", "a c d"])
     for left in ("a", "<s>", "never"):
         assert sum(chance(left, word) for word in [*counts, "unknown"]) == pytest.approx(1)
+
+
+def test_an_absent_file_is_an_error(docs):
+    df = docs([(k, f"a few words {k % 7} of text {k}") for k in range(60)])
+    model = language_model.train(df)
+    scorer = language_model.Scorer(model)
+    os.rename(f"{model.folder}/{min(model.files)}", f"{model.folder}/gone.away")
+    kind, shard = min(model.files).split("-")
+    types = language_model._PAIR_TYPES if kind == "pairs" else language_model._WORD_TYPES
+    with pytest.raises(FileNotFoundError):
+        scorer._file({}, kind, int(shard), types)
+    assert scorer._file({}, kind, model.shards + 1, types) is None
