@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from haulrate.functions import has_text, match_key
-from haulrate.operators.lookups import ROW_ID, join_side
+from haulrate.operators.lookups import join_side, rank
 from haulrate.operators.shipments import SLOTS, slot
 from haulrate.sources.cards import Card
+from haulrate.sources.shared import staged
 
 PARTS = ["title"] + [f"item{k}" for k in range(1, SLOTS + 1)]
 SEPARATOR = " / "
 GRAM = 3
+DIGEST = "__texts"
 
 FIELDS = ("keyword", "needle", "difficulty_idx", "fragile_idx")
 WORD_FIELDS = "keyword:string,needle:string,difficulty_idx:double,fragile_idx:double"
@@ -50,50 +52,89 @@ def _literal_words(rows: list[Row]) -> Column:
             return f"cast(X'{value.encode().hex()}' AS string)"
         return f"cast('{value!r}' AS double)"
 
-    ordered = sorted(rows, key=lambda row: [row["id"], *[row[f] for f in FIELDS]])
+    ordered = sorted(rows, key=lambda row: [rank(row[f]) for f in ("id", *FIELDS)])
     words = [", ".join(f"'{f}', {literal(row[f])}" for f in FIELDS) for row in ordered]
     return F.expr(f"cast(array({', '.join(f'named_struct({word})' for word in words)}) AS {WORDS})")
 
 
+def _grams(text: Column, size: int | Column) -> Column:
+    """Every run of ``size`` letters with the number of its first letter, as an array."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    of = F.lit(size) if isinstance(size, int) else size
+    return F.transform(
+        starts, lambda at: F.struct(at.alias("at"), F.substring(text, at, of).alias("gram"))
+    )
+
+
+def anchors(parts: DataFrame, words: DataFrame, sizes: list[int]) -> DataFrame:
+    """Each keyword under its rarest gram in the texts, with how far into the keyword that is.
+
+    A keyword of fewer than ``GRAM`` letters is its own only gram. Of equally rare grams the first
+    one is taken; one that no text has is as good as any, for then the keyword is in no text.
+    """
+    seen = _text_grams(parts.select("text"), sizes).groupBy("gram").agg(F.count("*").alias("seen"))
+    own = _grams(F.col("needle"), F.least(F.length("needle"), F.lit(GRAM)))
+    filed = words.select("*", F.explode(own).alias("own"))
+    filed = filed.select(*words.columns, "own.gram", (F.col("own.at") - 1).alias("into"))
+    counted = filed.join(seen, "gram", "left")
+    rarest = F.min(F.struct(F.coalesce("seen", F.lit(0)), "into", "gram")).alias("anchor")
+    found = counted.groupBy(*words.columns).agg(rarest)
+    return found.select("anchor.gram", "anchor.into", F.struct(*words.columns).alias("word"))
+
+
+def _text_grams(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """The rows of ``texts`` with every gram of their text, of each of the sizes."""
+    every = F.concat(*[_grams(F.col("text"), size) for size in sizes])
+    exploded = texts.select("*", F.explode(every).alias("found"))
+    return exploded.select(*texts.columns, "found.at", "found.gram")
+
+
 def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
     """Add the keywords of every part, as array ``hits`` in the order of PARTS.
 
-    For a keyword list of any size: a keyword can only be in a text that has the keyword's first
-    letters somewhere, so texts and keywords meet by equality on those letters. The pieces carry
-    the row and part they come from, not the text; what met is compared in full beside the text
-    of its row. Within a part the keywords stand in the order of the literal list.
+    For a keyword list of any size: texts and keywords meet by equality of a gram, the keyword's
+    rarest, and are compared at the one place where the keyword would have to stand. Shipments with
+    the same texts have the same hits, so what meets the keywords is each different set of texts
+    once, written once, and its hits come back to every shipment by the digest of the texts: the
+    shipment's own id, which may be missing or repeated, plays no part. Within a part the keywords
+    stand in the order of the literal list, as often as the list has them.
     """
     texts = list(_texts().values())
+    digest = F.sha2(F.to_json(F.struct(F.array(*texts).alias("texts"))), 256)
     every = F.array(*[F.struct(text.alias("text")) for text in texts])
-    parts = df.select(ROW_ID, F.posexplode(every).alias("part", "held"))
-    parts = parts.select(ROW_ID, "part", F.col("held.text").alias("text")).dropna()
-
-    def grams(q: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size("letters") - (q - 1), F.lit(1)))
-        return F.transform(starts, lambda at: F.array_join(F.slice("letters", at, q), ""))
+    parts = df.select(digest.alias(DIGEST), F.posexplode(every).alias("part", "held"))
+    parts = parts.select(DIGEST, "part", F.col("held.text").alias("text")).dropna().distinct()
+    parts = staged(parts, "texts")
 
-    pieces = F.array_distinct(F.concat(*[grams(q) for q in range(1, GRAM + 1)]))
-    letters = F.split("text", "").alias("letters")  # once, so that each piece is found in place
-    probes = parts.select(ROW_ID, "part", letters).select(
-        ROW_ID, "part", F.explode(pieces).alias("probe")
+    listed = words.df.groupBy("id", *FIELDS).agg(F.count("*").cast("int").alias("times"))
+    lengths = words.df.agg(
+        F.collect_set(F.least(F.length("needle"), F.lit(GRAM))), F.max(F.length("needle"))
     )
-    word = F.struct("id", *FIELDS).alias("word")
-    sized = words.df.select(F.substring("needle", 1, GRAM).alias("gram"), word)
-    met = join_side(probes, sized, {"gram": F.col("probe")}, small=words.small, how="inner")
-    hit = F.struct("part", "word")
-    in_order = F.sort_array(F.collect_list(hit)).alias("met")
-    met = met.groupBy(F.col(ROW_ID).alias("__row")).agg(in_order)
-    joined = df.join(met, F.col(ROW_ID) == F.col("__row"), "left")
-
-    def of_part(k: int, text: Column) -> Column:
-        def stands(hit: Column) -> Column:
-            return (hit["part"] == k) & F.contains(text, hit["word"]["needle"])
-
-        mine = F.transform(F.filter("met", stands), lambda hit: hit["word"])
-        return F.coalesce(mine, F.array().cast(f"array<struct<id:int,{WORD_FIELDS}>>"))
-
-    hits = F.array(*[of_part(k, text) for k, text in enumerate(texts)])
-    return joined.withColumn("hits", hits).drop("__row", "met")
+    sizes, longest = lengths.first()
+    # A gram carries the letters around it, as many as a keyword can reach, not the whole text.
+    before = F.least(F.col("at") - 1, F.lit(longest))
+    around = F.substring("text", F.col("at") - before, before + longest)
+    probes = _text_grams(parts, sorted(sizes)).select(
+        DIGEST, "part", "gram", before.alias("before"), around.alias("around")
+    )
+    filed = anchors(parts, listed, sorted(sizes))
+    met = join_side(probes, filed, {"gram": probes["gram"]}, small=words.small, how="inner")
+    start = F.col("before") - F.col("into")
+    stands = F.substring("around", start + 1, F.length("word.needle")) == F.col("word.needle")
+    in_order = F.sort_array(F.collect_set(F.struct("part", "word"))).alias("met")
+    met = met.where((start >= 0) & stands).groupBy(DIGEST).agg(in_order)
+    joined = join_side(df, met, {DIGEST: digest}, small=False)
+
+    def of_part(k: int) -> Column:
+        mine = F.transform(F.filter("met", lambda hit: hit["part"] == k), lambda hit: hit["word"])
+
+        def again(word: Column) -> Column:
+            return F.array_repeat(F.struct(*[word[f].alias(f) for f in FIELDS]), word["times"])
+
+        return F.coalesce(F.flatten(F.transform(mine, again)), F.array().cast(WORDS))
+
+    hits = F.array(*[of_part(k) for k in range(len(texts))])
+    return joined.withColumn("hits", hits).drop("met")
 
 
 def _joined_keywords(hits: Column, passes: int) -> Column:

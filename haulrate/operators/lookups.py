@@ -120,7 +120,7 @@ def band_lookup(
     types = {col: card.df.schema[col].dataType for col in take}
     bands = [row for row in card.literals if row[lo] is not None and row[hi] is not None]
     order = [hi, *_tie(card.df), lo, *take]
-    bands.sort(key=lambda row: [_rank(row[c]) for c in order])
+    bands.sort(key=lambda row: [rank(row[c]) for c in order])
     found = F.lit(None).cast(T.StructType([T.StructField(c, t) for c, t in types.items()]))
     for row in reversed(bands):
         values = F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in take])
@@ -129,7 +129,7 @@ def band_lookup(
     return df.withColumn(name, found)
 
 
-def _rank(value) -> tuple:
+def rank(value) -> tuple:
     """A value's place in Spark's order: NULL before all values, NaN after them."""
     nan = isinstance(value, float) and math.isnan(value)
     return (value is not None, nan, 0 if value is None or nan else value)

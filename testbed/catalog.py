@@ -420,6 +420,29 @@ def _band_lookup_open(b: Bench) -> DataFrame:
     )
 
 
+def _keyword_indexes_many(b: Bench) -> DataFrame:
+    """Parts as shipments whose ids repeat or are missing; every third order number is a keyword,
+    some without an id."""
+    number, key = F.col("p_partkey"), F.col("o_orderkey")
+    words = b.table("orders").where(key % 3 == 0).select(
+        F.when(key % 50 > 0, key.cast("int")).alias("id"),
+        key.cast("string").alias("keyword"),
+        (key % 7 + 0.5).alias("difficulty_idx"),
+        F.when(key % 4 > 0, key % 5 * 0.25).alias("fragile_idx"),
+    )
+    kept = F.struct(F.concat(F.lit("size "), (number * 611).cast("string")).alias("title"))
+    empty = F.struct(F.lit(None).cast("string").alias("title"))
+    parts = b.table("part").select(
+        F.when(number % 10 > 0, number % 700).alias("packagematchid"),
+        F.concat("p_name", F.lit(" "), (number % 900 * 37).cast("string")).alias("title"),
+        F.array(kept, F.when(number % 3 > 0, kept).otherwise(empty)).alias("slots"),
+        (1 + number % 2).cast("int").alias("totalitems"),
+    )
+    found = keywords.keyword_indexes(parts, Card(words, b.limits), passes=1)
+    names = [f"{part}{kind}" for part in ("title", "item1", "item2") for kind in ("keyword", "diff", "frag")]
+    return found.select("packagematchid", "title", *names)
+
+
 def _size_rating_seeds(b: Bench) -> DataFrame:
     """The seeds merged into ratings as large as the part table, stored a month ago."""
     then = F.lit("2024-01-01").cast("timestamp_ntz")
@@ -510,6 +533,7 @@ QUERIES: dict[str, Callable[[Bench], DataFrame]] = {
     "band_lookup": _band_lookup,
     "band_lookup_many": _band_lookup_many,
     "band_lookup_open": _band_lookup_open,
+    "keyword_indexes_many": _keyword_indexes_many,
     "size_rating_seeds": _size_rating_seeds,
     "backtest_job": _backtest_job,
 }

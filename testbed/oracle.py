@@ -696,6 +696,34 @@ BODIES = {
         select l_orderkey, l_linenumber, l_extendedprice, band.low as low, band.high as high,
                band.s as supplier
         from lineitem left join firsts on l_extendedprice = firsts.price""",
+    "keyword_indexes_many": """
+        with words as (
+            select case when o_orderkey % 50 > 0 then o_orderkey end as id,
+                   cast(o_orderkey as varchar) as keyword, o_orderkey % 7 + 0.5::double as idx,
+                   case when o_orderkey % 4 > 0 then o_orderkey % 5 * 0.25::double end as fragile
+            from orders where o_orderkey % 3 = 0),
+        shipments as (
+            select case when p_partkey % 10 > 0 then p_partkey % 700 end as packagematchid,
+                   p_partkey as n, p_name || ' ' || (p_partkey % 900 * 37) as title,
+                   'size ' || (p_partkey * 611) as item1,
+                   case when p_partkey % 3 > 0 and p_partkey % 2 > 0 then item1 end as item2
+            from part),
+        texts as (
+            select distinct text from (
+                select title as text from shipments union all select item1 from shipments)),
+        met as (
+            select text, string_agg(keyword, ' / ' order by id nulls first, keyword) as words,
+                   max(idx) as diff, max(fragile) as frag
+            from texts join words on contains(lower(text), lower(keyword)) group by text)
+        select packagematchid, title, t.words as titlekeyword, coalesce(t.diff, 0) as titlediff,
+               coalesce(t.frag, 0) as titlefrag, a.words as item1keyword,
+               coalesce(a.diff, 0) as item1diff, coalesce(a.frag, 0) as item1frag,
+               b.words as item2keyword, coalesce(b.diff, 0) as item2diff,
+               coalesce(b.frag, 0) as item2frag
+        from shipments
+        left join met t on title = t.text
+        left join met a on item1 = a.text
+        left join met b on item2 = b.text""",
     "size_rating_seeds": """
         with seeds(size_no, surcharged, surchargep) as (values
             (0, 0.0::double, 0.0::double), (1, 0.0, 0.1), (2, 0.0, 0.18)),

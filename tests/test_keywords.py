@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from haulrate.operators import keywords
 from haulrate.operators.keywords import difficulty_index, keyword_indexes
 from haulrate.sources.cards import Card
 
@@ -103,3 +104,37 @@ def test_equal_ids_are_ordered_alike_at_every_size(spark, limits):
     card = words(spark, limits, (1, "ring", 1.0, 1.0), (1, "old", 2.0, 2.0), (1, "gold", 0.0, None))
     df = shipments(spark, [(1, "old gold ring", [None], 1)])
     assert keyword_indexes(df, card, passes=1).collect()[0].titlekeyword == "gold / old / ring"
+
+
+def test_answers_depend_on_neither_limits_nor_row_ids(spark, limits):
+    """Ids that repeat or are missing, keywords without ids, and keywords listed twice."""
+    rows = [
+        (7, "ring in a box", ["box"], 1), (7, "box", ["ring", None], 2), (None, "ring", [], 0),
+        (None, "a box", ["ring ring"], 1), (7, "ring in a box", ["box"], 1), (8, None, [None], 1),
+        (8, "", ["bo"], 1), (9, "ünbox 日本 ring", ["x"], 1),
+    ]
+    listed = [
+        (3, "ring", 1.0, 0.5), (None, "box", 2.0, None), (3, "ring", 1.0, 0.5), (1, "in", 0.5, 2.0),
+        (None, "x", 0.25, 0.1), (4, "本 r", 3.0, 1.0), (5, "ring in a box", 4.0, 1.0), (6, "ox", 1.0, 9.0),
+    ]
+    card = words(spark, limits, *listed)
+    found = keyword_indexes(shipments(spark, rows), card, passes=1)
+    assert found.count() == len(rows)
+    titles = sorted((r.title or "", r.titlekeyword or "", r.titlediff, r.titlefrag) for r in found.collect())
+    assert titles == sorted([
+        ("ring in a box", "box / x / in / ring / ring / ring in a box / ox", 4.0, 9.0),
+        ("ring in a box", "box / x / in / ring / ring / ring in a box / ox", 4.0, 9.0),
+        ("box", "box / x / ox", 2.0, 9.0),
+        ("ring", "in / ring / ring", 1.0, 2.0),
+        ("a box", "box / x / ox", 2.0, 9.0),
+        ("", "", 0.0, 0.0),
+        ("", "", 0.0, 0.0),
+        ("ünbox 日本 ring", "box / x / in / ring / ring / 本 r / ox", 3.0, 9.0),
+    ])
+
+
+def test_a_keyword_is_filed_under_its_rarest_gram(spark):
+    parts = spark.createDataFrame([("abcabcxyz",), ("abcabd",)], "text string")
+    listed = spark.createDataFrame([("abcxyz",), ("ab",), ("zzzz",)], "needle string")
+    filed = {r.word.needle: (r.gram, r.into) for r in keywords.anchors(parts, listed, [2, 3]).collect()}
+    assert filed == {"abcxyz": ("bcx", 1), "ab": ("ab", 0), "zzzz": ("zzz", 0)}

@@ -33,6 +33,7 @@ WITH_ANOTHER_WAY = [
     "band_lookup",
     "band_lookup_many",
     "band_lookup_open",
+    "keyword_indexes_many",
 ]
 
 
