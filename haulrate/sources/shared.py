@@ -22,13 +22,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    _file_system(spark, path).deleteOnExit(_path(spark, path))
+    file_system(spark, path).deleteOnExit(hadoop_path(spark, path))
     return path
 
 
 def remove_staged(spark: SparkSession, path: str) -> None:
     """Removes a path that ``shared_folder`` gave, once nothing reads it any more."""
-    _file_system(spark, path).delete(_path(spark, path), True)
+    file_system(spark, path).delete(hadoop_path(spark, path), True)
 
 
 def staged(df: DataFrame, purpose: str = "stage") -> DataFrame:
@@ -41,9 +41,11 @@ def staged(df: DataFrame, purpose: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The path as Hadoop's file systems take it."""
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds the path."""
+    return hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

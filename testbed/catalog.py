@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import cached_property
+from functools import cached_property, reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from haulrate.operators.lookups import band_lookup, equi_lookup
 from haulrate.params import Limits, Params
 from haulrate.plans import backtest, pricing
 from haulrate.sources.cards import Card, Cards
+from haulrate.sources.commits import CommitLog, LedgerTable, VersionedTable, Window
 from haulrate.sources.facts import Facts
 from haulrate.sources.schemas import CARD_DDL, FACT_DDL
 from haulrate.sources.seeds import SIZE_RATING_VALUES, size_ratings
@@ -287,6 +289,82 @@ def _fan_out_load(b: Bench) -> DataFrame:
     return loaded.join(F.broadcast(status), "target")  # one status row per target
 
 
+class _LostOnce(CommitLog):
+    """A log whose first commit is lost, as of a driver that dies after the data are written."""
+
+    lost = False
+
+    def commit(self, name: str, record: dict) -> bool:
+        if not self.lost:
+            self.lost = True
+            raise RuntimeError("lost before the commit")
+        return super().commit(name, record)
+
+
+def _append_ledger(b: Bench) -> DataFrame:
+    """Fuel loads that run twice, overlap, and are lost before their commit."""
+    prices = pivot_fuel(b.fuel_feed(), datetime(2024, 1, 31), days=3650)
+    table = LedgerTable(b.spark, shared_folder(b.spark, "append_ledger"))
+    first = Window(date(2024, 1, 1), date(2024, 1, 12))
+    last = Window(date(2024, 1, 20), date(2024, 1, 31))
+    for window in (first, Window(date(2024, 1, 8), date(2024, 1, 20)), first):
+        table.append(prices, "date", window)
+    table.ledger = _LostOnce(b.spark, table.ledger.folder)
+    for _ in range(3):
+        try:
+            table.append(prices, "date", last)
+        except RuntimeError:
+            continue
+    return table.read()
+
+
+def _refresh_versioned(b: Bench) -> DataFrame:
+    """What readers see beside a refresh that fails, and before and after one that ends."""
+    table = VersionedTable(b.spark, shared_folder(b.spark, "refresh_versioned"))
+    table.refresh(b.parts())
+    lost = F.when(F.col("p_partkey") > 0, F.col("p_retailprice"))
+    broken = b.parts(dearer=50.0).withColumn(
+        "p_retailprice", lost.otherwise(F.raise_error(F.lit("lost")).cast("double"))
+    )
+    try:
+        table.refresh(broken)
+        raise AssertionError("the refresh was to fail")
+    except PySparkException:
+        before = table.read()
+    table.refresh(b.parts(dearer=100.0))
+    return reduce(
+        DataFrame.unionAll,
+        [
+            rows.select(F.lit(seen).alias("seen"), F.lit(version).alias("version"), "*")
+            for seen, version, rows in (
+                ("before", 1, before),
+                ("after", table.version(), table.read()),
+            )
+        ],
+    )
+
+
+def _fan_out_resume(b: Bench) -> DataFrame:
+    """One target cannot hold the columns at first; a second call loads it alone."""
+    state = CommitLog(b.spark, shared_folder(b.spark, "fan_out_state"))
+    targets = [b.stored(name) for name in ENVIRONMENTS]
+    narrow = [Table("qa", "text", t.options) if t.name == "qa" else t for t in targets]
+    calls = [
+        fan_out(b.parts(), narrow, full_refresh, attempts=2, state=state),
+        fan_out(b.parts(dearer=1.0), targets, full_refresh, attempts=2, state=state),
+    ]
+    told = [c.select(F.lit(k + 1).alias("call"), "*") for k, c in enumerate(calls)]
+    loaded = reduce(
+        DataFrame.unionAll,
+        [
+            extract(b.spark, t).select(F.lit(t.name).alias("target"), "p_partkey", "p_retailprice")
+            for t in targets
+        ],
+    )
+    status = reduce(DataFrame.unionAll, told)  # a row for each target and call
+    return loaded.join(F.broadcast(status), "target")
+
+
 def _ratecard_upsert(b: Bench) -> DataFrame:
     """At table size, with the target as it was stored a month ago."""
     then = F.lit("2024-01-01").cast("timestamp_ntz")
@@ -528,6 +606,9 @@ QUERIES: dict[str, Callable[[Bench], DataFrame]] = {
     "append_load": _append_load,
     "full_refresh": _full_refresh,
     "fan_out_load": _fan_out_load,
+    "append_ledger": _append_ledger,
+    "refresh_versioned": _refresh_versioned,
+    "fan_out_resume": _fan_out_resume,
     "ratecard_upsert": _ratecard_upsert,
     "equi_lookup": _equi_lookup,
     "band_lookup": _band_lookup,

@@ -618,6 +618,26 @@ BODIES = {
         with loaded as ({_PARTS_NOW}), counts as (select count(*) as rows from loaded)
         select target, rows, true as ok, p_partkey, p_retailprice
         from (values ('dev'), ('qa'), ('sand'), ('prod')) t(target), counts, loaded""",
+    "append_ledger": """
+        select cast(ts as date) as date,
+               max(case when event_type = 'view' then value end) as gas,
+               max(case when event_type = 'click' then value end) as diesel
+        from events
+        where cast(ts as date) > date '2024-01-01' and cast(ts as date) <= date '2024-01-31'
+        group by 1""",
+    "refresh_versioned": f"""
+        select 'before' as seen, 1 as version, * from ({_PARTS_NOW})
+        union all select 'after', 2, * from ({_PARTS_DEARER})""",
+    "fan_out_resume": f"""
+        with loaded as ({_PARTS_NOW}), counts as (select count(*) as rows from loaded),
+        told(call, target, ok, attempts, error) as (values
+            (1, 'dev', true, 1, null), (1, 'qa', false, 2, 'AnalysisException'),
+            (1, 'sand', true, 1, null), (1, 'prod', true, 1, null),
+            (2, 'dev', true, 0, null), (2, 'qa', true, 1, null),
+            (2, 'sand', true, 0, null), (2, 'prod', true, 0, null))
+        select call, target, case when ok then rows else 0 end as rows, ok, attempts, error,
+               p_partkey, p_retailprice
+        from told, counts, loaded""",
     "ratecard_upsert": f"""
         with kept as ({_PARTS_NOW}),
         offered as (select 3 * c_custkey as p_partkey, c_name as p_name,
