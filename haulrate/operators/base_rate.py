@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulrate.functions import has_text, match_key, zip5
-from haulrate.operators.lookups import equi_lookup, one_per_key, pair_band_lookup
+from haulrate.operators.lookups import Lookup, equi, looked_up, one_per_key, pair_band_lookup
 from haulrate.sources.cards import Card, Cards
 
 LANE_BAND_MILES = 10
@@ -45,30 +45,32 @@ def msa_by_zip(cards: Cards) -> Card:
     return primary.derive(areas.select("zip", area.alias("area")), closest)
 
 
+def _area(areas: Card, side: str) -> tuple[Lookup, dict[str, Column]]:
+    """The lookup of one side's area, and what it adds."""
+    name, prefix = f"{side}_area", side[0]
+    found = equi(areas, [(zip5(F.col(f"{side}zip")), "zip")], ["area"], name)
+    columns = {"msa": F.col(f"{name}.area.msa"), "msa_miles": F.col(f"{name}.area.miles")}
+    return found, {f"{prefix}{kind}": value for kind, value in columns.items()}
+
+
 def resolve_msa(df: DataFrame, areas: Card, side: str) -> DataFrame:
     """Add omsa and omsa_miles, or dmsa and dmsa_miles, for side origin or destination."""
-    prefix = side[0]
-    found = equi_lookup(df, areas, [(zip5(F.col(f"{side}zip")), "zip")], ["area"], "found")
-    return found.withColumns(
-        {
-            f"{prefix}msa": F.col("found.area.msa"),
-            f"{prefix}msa_miles": F.col("found.area.miles"),
-        }
-    ).drop("found")
+    found, columns = _area(areas, side)
+    return looked_up(df, [found], columns)
 
 
 def with_areas(df: DataFrame, cards: Cards) -> DataFrame:
+    """The areas of both ends."""
     areas = msa_by_zip(cards)
-    return resolve_msa(resolve_msa(df, areas, "origin"), areas, "destination")
+    (origin, first), (destination, second) = (_area(areas, s) for s in ("origin", "destination"))
+    return looked_up(df, [origin, destination], first | second)
 
 
 def ppm_base_rate(df: DataFrame, cards: Cards) -> DataFrame:
     """Base rate from the price per mile of the area pair; NULL where the pair has none."""
     pair = [("omsa", "o_msa"), ("dmsa", "d_msa")]
-    found = equi_lookup(df, cards["ppm_master"], pair, ["ppm"], "lane")
-    return found.withColumns(
-        {"base_rate": F.col("lane.ppm") * F.col("mileage"), "ppm": F.col("lane.ppm")}
-    ).drop("lane")
+    lane, ppm = equi(cards["ppm_master"], pair, ["ppm"], "lane"), F.col("lane.ppm")
+    return looked_up(df, [lane], {"base_rate": ppm * F.col("mileage"), "ppm": ppm})
 
 
 def lane_rate_override(df: DataFrame, cards: Cards) -> DataFrame:

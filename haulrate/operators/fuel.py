@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulrate.operators.lookups import equi_lookup
+from haulrate.operators.lookups import equi, looked_up
 from haulrate.params import Params
 from haulrate.sources.cards import Card, Cards
 
@@ -40,14 +40,14 @@ def fuel_by_day(cards: Cards, p: Params) -> Card:
 
 def with_lagged_fuel(df: DataFrame, cards: Cards, p: Params) -> DataFrame:
     """Add week_end_date and gas_2wa; a row whose day is not in the calendar is dropped."""
-    found = equi_lookup(
-        df,
+    day = equi(
         fuel_by_day(cards, p),
         [("d_datecreated", "day_date")],
         ["week_end_date", "gas_2wa"],
         "day",
     )
-    known = found.where(F.col("day").isNotNull())
-    return known.withColumns(
-        {"week_end_date": F.col("day.week_end_date"), "gas_2wa": F.col("day.gas_2wa")}
-    ).drop("day")
+    week, gas = F.col("day.week_end_date"), F.col("day.gas_2wa")
+    found = looked_up(
+        df, [day], {"week_end_date": week, "gas_2wa": gas, "known": F.col("day").isNotNull()}
+    )
+    return found.where("known").drop("known")

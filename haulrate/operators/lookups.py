@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -85,6 +86,67 @@ def one_per_key(
     return rows.groupBy(*keys, part).agg(F.min_by(name, "__order").alias(name)).drop("__part")
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """One lookup of a card: a struct column ``name``, NULL on a miss.
+
+    Either an expression over the working frame, or a side that is joined where ``meets`` holds,
+    of which each row of the frame meets at most one.
+    """
+
+    name: str
+    value: Column | None = None
+    side: DataFrame | None = None
+    meets: Column | None = None
+    small: bool = False
+
+
+def looked_up(
+    df: DataFrame, lookups: Sequence[Lookup], columns: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """The frame with columns computed from lookups, or with the lookups' own if none are given.
+
+    However many lookups there are, they are joined one after the other and projected once, so that
+    a frame is analysed once for each join and once for all columns.
+    """
+    joined = df
+    for lookup in lookups:
+        if lookup.side is not None:
+            side = F.broadcast(lookup.side) if lookup.small else lookup.side
+            joined = joined.join(side, lookup.meets, "left")
+    values = {lookup.name: lookup.value for lookup in lookups if lookup.value is not None}
+    if values:
+        joined = joined.withColumns(values)
+    if columns is None:
+        return joined.select(*df.columns, *[lookup.name for lookup in lookups])
+    kept = [name for name in df.columns if name not in columns]
+    return joined.select(*kept, *[value.alias(name) for name, value in columns.items()])
+
+
+def equi(
+    card: Card, on: Sequence[tuple[str | Column, str]], take: Sequence[str], name: str
+) -> Lookup:
+    """The columns ``take`` of the card row whose keys are equal.
+
+    ``on`` pairs a column or expression of the frame with a card column; texts are compared
+    without case and trailing blanks.
+    """
+    keys = [f"__{name}{i}" for i in range(len(on))]
+    own = {key: _comparable(card.df, col, F.col(col)) for key, (_, col) in zip(keys, on)}
+    first, order = F.struct(*take), F.struct(*_tie(card.df), *take)
+    if card.small:
+        # One partition, so the reduction needs no shuffle; a NULL key's row equals nothing.
+        named = [value.alias(key) for key, value in own.items()]
+        side = card.df.coalesce(1).groupBy(*named).agg(F.min_by(first, order).alias(name))
+    else:
+        side = one_per_key(card.df.withColumns(own), keys, first, order, name, False)
+    equal = [
+        _comparable(card.df, col, F.col(value) if isinstance(value, str) else value) == side[key]
+        for key, (value, col) in zip(keys, on)
+    ]
+    return Lookup(name, side=side, meets=reduce(and_, equal), small=card.small)
+
+
 def equi_lookup(
     df: DataFrame,
     card: Card,
@@ -92,41 +154,47 @@ def equi_lookup(
     take: Sequence[str],
     name: str,
 ) -> DataFrame:
-    """Add struct ``name`` with the columns ``take`` of the card row whose keys are equal.
-
-    ``on`` pairs a column or expression of ``df`` with a card column; texts are compared
-    without case and trailing blanks.
-    """
-    keys = [f"__key{i}" for i in range(len(on))]
-    side = card.df.withColumns(
-        {key: _comparable(card.df, col, F.col(col)) for key, (_, col) in zip(keys, on)}
-    )
-    side = one_per_key(
-        side, keys, F.struct(*take), F.struct(*_tie(card.df), *take), name, card.small
-    )
-    probe = {
-        key: _comparable(card.df, col, F.col(value) if isinstance(value, str) else value)
-        for key, (value, col) in zip(keys, on)
-    }
-    return join_side(df, side, probe, small=card.small)
+    """Add struct ``name`` of the card row whose keys are equal, as ``equi`` says."""
+    return looked_up(df, [equi(card, on, take, name)])
 
 
-def band_lookup(
-    df: DataFrame, card: Card, value: str, lo: str, hi: str, take: Sequence[str], name: str
-) -> DataFrame:
-    """Add struct ``name`` with the columns ``take`` of the band lo <= value <= hi."""
+def band(
+    card: Card, value: str | Column, lo: str, hi: str, take: Sequence[str], name: str
+) -> Lookup:
+    """The columns ``take`` of the band lo <= value <= hi."""
+    of = F.col(value) if isinstance(value, str) else value
     if card.literals is None:
-        return _segment_join(df, card, value, lo, hi, take, name)
+        return _segment(card, of, lo, hi, take, name)
     types = {col: card.df.schema[col].dataType for col in take}
     bands = [row for row in card.literals if row[lo] is not None and row[hi] is not None]
     order = [hi, *_tie(card.df), lo, *take]
     bands.sort(key=lambda row: [rank(row[c]) for c in order])
     found = F.lit(None).cast(T.StructType([T.StructField(c, t) for c, t in types.items()]))
     for row in reversed(bands):
-        values = F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in take])
-        inside = F.col(value).between(F.lit(row[lo]), F.lit(row[hi]))
-        found = F.when(inside, values).otherwise(found)
-    return df.withColumn(name, found)
+        values = F.expr(_struct_literal({c: (row[c], types[c]) for c in take}))
+        found = F.when(of.between(row[lo], row[hi]), values).otherwise(found)
+    return Lookup(name, value=found)
+
+
+def _struct_literal(fields: Mapping[str, tuple[object, T.DataType]]) -> str:
+    """A constant struct as one expression, parsed at once; texts are written as bytes, so that
+    nothing in them has a meaning for the parser."""
+
+    def literal(value: object, kind: str) -> str:
+        if value is None:
+            return f"cast(null AS {kind})"
+        text = repr(value) if isinstance(value, float) else str(value)
+        return f"cast(cast(X'{text.encode().hex()}' AS string) AS {kind})"
+
+    parts = (f"'{c}', {literal(v, kind.simpleString())}" for c, (v, kind) in fields.items())
+    return f"named_struct({', '.join(parts)})"
+
+
+def band_lookup(
+    df: DataFrame, card: Card, value: str, lo: str, hi: str, take: Sequence[str], name: str
+) -> DataFrame:
+    """Add struct ``name`` with the columns ``take`` of the band lo <= value <= hi."""
+    return looked_up(df, [band(card, value, lo, hi, take, name)])
 
 
 def rank(value) -> tuple:
@@ -135,9 +203,9 @@ def rank(value) -> tuple:
     return (value is not None, nan, 0 if value is None or nan else value)
 
 
-def _segment_join(
-    df: DataFrame, card: Card, value: str, lo: str, hi: str, take: Sequence[str], name: str
-) -> DataFrame:
+def _segment(
+    card: Card, value: Column, lo: str, hi: str, take: Sequence[str], name: str
+) -> Lookup:
     """The same for a card of any size: its bands as disjoint segments, of which a value meets at
     most one, joined by the value's cell."""
     order = [hi, *_tie(card.df), lo, *take]
@@ -146,13 +214,14 @@ def _segment_join(
     )
     if not found.count:
         nothing = card.df.select(F.struct(*take).alias("values")).schema["values"].dataType
-        return df.withColumn(name, F.lit(None).cast(nothing))
-    rows = found.rows.withColumnRenamed("values", name)
+        return Lookup(name, value=F.lit(None).cast(nothing))
+    own = {c: name if c == "values" else f"__{name}_{c}" for c in found.rows.columns}
+    rows = found.rows.select(*[F.col(c).alias(new) for c, new in own.items()])
+    meets = (found.cell(value) == rows[own["cell"]]) & inside(
+        value, *[rows[own[c]] for c in ("start", "start_open", "end", "end_open")]
+    )
     small = found.count <= card.limits.broadcast_rows
-    placed = df.withColumn(CELL, found.cell(F.col(value)))
-    meets = (placed[CELL] == rows["cell"]) & inside(placed[value], rows)
-    joined = placed.join(F.broadcast(rows) if small else rows, meets, "left")
-    return joined.select(*[placed[c] for c in df.columns], rows[name])
+    return Lookup(name, side=rows, meets=meets, small=small)
 
 
 def pair_band_lookup(

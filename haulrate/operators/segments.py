@@ -55,10 +55,10 @@ class Segments:
         return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step) - 1
 
 
-def inside(value: Column, rows: DataFrame) -> Column:
+def inside(value: Column, start: Column, start_open: Column, end: Column, end_open: Column) -> Column:
     """Whether the value lies in the segment."""
-    after = F.when(rows["start_open"], value > rows["start"]).otherwise(value >= rows["start"])
-    before = F.when(rows["end_open"], value < rows["end"]).otherwise(value <= rows["end"])
+    after = F.when(start_open, value > start).otherwise(value >= start)
+    before = F.when(end_open, value < end).otherwise(value <= end)
     return after & before
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from haulrate.functions import contains_text, match_key, zip5
 from haulrate.operators.fuel import with_lagged_fuel
 from haulrate.operators.joins import join_hot_keys
-from haulrate.operators.lookups import equi_lookup
+from haulrate.operators.lookups import equi, equi_lookup, looked_up
 from haulrate.params import Params
 from haulrate.sources.cards import Cards
 from haulrate.sources.facts import Facts
@@ -224,12 +224,12 @@ def shipment_base(facts: Facts, cards: Cards, p: Params) -> DataFrame:
     )
     shipments = _with_carrier(shipments, facts, p)
     shipments = with_lagged_fuel(shipments, cards, p)
-    for side in ("origin", "destination"):
-        shipments = equi_lookup(
-            shipments, cards["stateabb"], [(f"{side}state", "state")], ["stateabbr"], "abb"
-        )
-        shipments = shipments.withColumn(f"{side}st", F.col("abb.stateabbr")).drop("abb")
-    return shipments
+    sides = {"originst": "origin", "destinationst": "destination"}
+    found = [
+        equi(cards["stateabb"], [(f"{side}state", "state")], ["stateabbr"], f"of_{name}")
+        for name, side in sides.items()
+    ]
+    return looked_up(shipments, found, {name: F.col(f"of_{name}.stateabbr") for name in sides})
 
 
 def with_zip_tier(df: DataFrame, cards: Cards) -> DataFrame:
@@ -240,10 +240,12 @@ def with_zip_tier(df: DataFrame, cards: Cards) -> DataFrame:
         assigned.df, tiers, [("dtier", "tier")], ["surchargep", "surcharged"], "amounts"
     ).where("amounts is not null")
     zip_code = zip5(F.col("destinationzip"))
-    df = equi_lookup(df, assigned, [(zip_code, "zip")], ["dtier"], "__tier")
-    df = equi_lookup(df, assigned.derive(priced), [(zip_code, "zip")], ["amounts"], "__priced")
+    found = [
+        equi(assigned, [(zip_code, "zip")], ["dtier"], "__tier"),
+        equi(assigned.derive(priced), [(zip_code, "zip")], ["amounts"], "__priced"),
+    ]
     both = F.struct(F.col("__tier.dtier"), F.col("__priced.amounts"))
-    return df.withColumn("zip_tier", both).drop("__tier", "__priced")
+    return looked_up(df, found, {"zip_tier": both})
 
 
 def shipment_flags(df: DataFrame, cards: Cards) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulrate.functions import match_key
-from haulrate.operators import surcharges as s
 from haulrate.operators.base_rate import base_rates
 from haulrate.operators.evaluate import TERMS, evaluation_flags, evaluation_summary, total
 from haulrate.operators.keywords import PARTS, difficulty_index, keyword_indexes
@@ -17,40 +16,19 @@ from haulrate.operators.shipments import (
     shipment_flags,
     size_rating,
 )
+from haulrate.operators.surcharges import with_terms
 from haulrate.params import Params
 from haulrate.sources.cards import Cards
 from haulrate.sources.facts import Facts
 
 
-def with_surcharges(df: DataFrame, cards: Cards) -> DataFrame:
-    """All surcharge terms of shipments that have a base rate, size and difficulty."""
-    for operator in (
-        s.fuel_surcharge,
-        s.zip_tier_surcharge,
-        s.service_level_surcharge,
-        s.state_surcharge,
-        s.state_route_surcharge,
-        s.congested_surcharge,
-        s.weight_surcharge,
-        s.size_surcharge,
-        s.difficulty_surcharge,
-        s.mileage_surcharge,
-        s.msa_surcharge,
-        s.expedited_surcharge,
-        s.multi_item_surcharge,
-        s.near_msa_surcharge,
-    ):
-        df = operator(df, cards)
-    return s.extra_quantity_surcharge(df, cards["furniture_indexes"])
-
-
 def price(facts: Facts, cards: Cards, p: Params) -> DataFrame:
     """Priced shipments as the working frame: one row per matched bid, items as an array."""
     df = shipment_flags(shipment_base(facts, cards, p), cards)
     df = price_per_mile_outlier(size_rating(df, p.text_size_compare))
     df = keyword_indexes(df, cards["furniture_indexes"], p.keyword_passes)
     df = base_rates(difficulty_index(df), cards)
-    return evaluation_flags(total(with_surcharges(df, cards)), cards)
+    return evaluation_flags(total(with_terms(df, cards)), cards)
 
 
 def detail(priced: DataFrame, p: Params, omsa: str | None = None, dmsa: str | None = None):
