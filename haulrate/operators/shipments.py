@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -148,18 +149,15 @@ def _deals(facts: Facts, p: Params) -> DataFrame:
     """Matched bids delivered in the window, kept narrow until they meet their listing."""
     delivered = F.col("delivereddate")
     day_after = p.end_date + timedelta(days=1)
-    tracking = facts.tracking.where(
-        (delivered >= F.lit(p.start_date)) & (delivered < F.lit(day_after))
+    within = (delivered >= F.lit(p.start_date)) & (delivered < F.lit(day_after))
+    dated = replace(
+        facts, tracking=facts.tracking.where(within), bids=matched_bids(facts.bids)
     )
-    bids = matched_bids(facts.bids).select(
-        "packageid",
-        "packagematchid",
-        "userid",
-        "dateaccepted",
-        F.col("bidvolumeusd").alias("matchprice"),
-    )
-    return bids.join(tracking.select("packagematchid"), "packagematchid").join(
-        facts.revenue.select("packagematchid", "nmr_post"), "packagematchid"
+    bids = dated.unique(
+        "bids", "packagematchid", "packageid", "userid", "dateaccepted", "bidvolumeusd"
+    ).withColumnRenamed("bidvolumeusd", "matchprice")
+    return bids.join(dated.unique("tracking", "packagematchid"), "packagematchid").join(
+        facts.unique("revenue", "packagematchid", "nmr_post"), "packagematchid"
     )
 
 
@@ -188,9 +186,8 @@ def _packages(facts: Facts, counts: DataFrame, p: Params) -> DataFrame:
         F.col("forecastsegment").alias("partner"),
         _countable().alias("countable"),
     )
-    compared = facts.rate_comparison.select(
-        "packageid", F.col("rate_table_nyp_amount").alias("old_prediction")
-    )
+    compared = facts.unique("rate_comparison", "packageid", "rate_table_nyp_amount")
+    compared = compared.withColumnRenamed("rate_table_nyp_amount", "old_prediction")
     joined = (
         listing.join(compared, "packageid")
         .join(counts, "packageid")
@@ -202,9 +199,9 @@ def _packages(facts: Facts, counts: DataFrame, p: Params) -> DataFrame:
 
 def _with_carrier(shipments: DataFrame, facts: Facts, p: Params) -> DataFrame:
     """Add the carrier's name; a shipment without one is dropped."""
-    users = facts.users.select("userid", F.col("username").alias("carrier"))
+    users = facts.unique("users", "userid", "username").withColumnRenamed("username", "carrier")
     most = p.limits.broadcast_rows
-    if users.limit(most + 1).count() <= most:
+    if facts.users.limit(most + 1).count() <= most:
         joined = shipments.join(F.broadcast(users), "userid")
     else:
         counts = matched_bids(facts.bids).groupBy("userid").agg(F.count("*").alias("deals"))

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -6,7 +7,9 @@ from pyspark.sql import functions as F
 from haulrate import Limits, Params
 from haulrate.operators import shipments as s
 from haulrate.operators.joins import join_hot_keys
+from haulrate.sources.facts import Facts
 from haulrate.sources.schemas import schema_of
+from testbed.catalog import Bench
 
 
 def table(spark, name, *rows):
@@ -142,3 +145,34 @@ def test_hot_keys_join_like_any_other(spark, hot_rows):
     assert sorted(map(tuple, joined.collect())) == sorted(
         map(tuple, expected.select(*joined.columns).collect())
     )
+
+
+@pytest.mark.parametrize(
+    ("name", "key"),
+    [
+        ("bids", "packagematchid"),
+        ("tracking", "packagematchid"),
+        ("revenue", "packagematchid"),
+        ("users", "userid"),
+        ("rate_comparison", "packageid"),
+    ],
+)
+def test_a_repeated_key_fails_the_query_that_reads_it(spark, sf_dir, name, key):
+    bench = Bench(spark, sf_dir)
+    priced = bench.base.agg(F.min("packagematchid"), F.max("carrier")).first()
+    assert priced[0] is not None
+    rows = getattr(bench.facts, name)
+    broken = replace(bench.facts, **{name: rows.union(rows)})
+    with pytest.raises(Exception, match=f"{name} holds {key} .* twice"):
+        s.shipment_base(broken, bench.cards, bench.params).write.format("noop").mode("overwrite").save()
+
+
+def test_missing_keys_may_repeat_and_the_check_adds_no_shuffle(spark):
+    tracking = spark.createDataFrame([(None,), (None,), (1,), (2,)], "packagematchid bigint")
+    facts = Facts(*[tracking] * 7)
+    rows = facts.unique("tracking", "packagematchid")
+    assert sorted(r[0] for r in rows.collect()) == [1, 2]
+    other = spark.range(4).withColumnRenamed("id", "packagematchid")
+    plan = rows.hint("merge").join(other.hint("merge"), "packagematchid")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2  # one for each side of the join
