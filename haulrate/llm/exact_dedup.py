@@ -29,6 +29,8 @@ from haulrate.sources.shared import staged
 SHARD_DIGESTS = 8192
 BITS_PER_DIGEST = 2.0
 WIDTH = 32
+#: The copies to drop are broadcast if counted and at most so many, of 40 bytes each.
+BROADCAST_COPIES = 200_000
 
 INDEX = (
     "shard bigint, level_bits array<bigint>, bits binary, digests binary, "
@@ -104,14 +106,36 @@ def dedup_rows(docs: DataFrame) -> DataFrame:
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text a kept row has, all columns as they are."""
-    digest, keep_id = fresh(docs, "_digest"), fresh(docs, "_keep_id")
-    kept = duplicate_groups(digested(docs)).select(
-        F.col("digest").alias(f"{digest}_kept"), F.col("keep_id").alias(keep_id)
-    )
+    """``docs`` without the rows whose text a kept row has, all columns as they are.
+
+    The few rows that go are found among digests alone, so texts are shuffled only if there are
+    too many of them to broadcast, and then once. Rows that share text and id with the one that
+    stays are reduced to one apart from all others.
+    """
+    rows = digested(docs)
+    groups = duplicate_groups(rows).where("group_size > 1").select("digest", "keep_id")
+    copies = rows.join(groups, "digest").groupBy("digest", "doc_id", "keep_id")
+    copies = staged(copies.agg(F.count("*").alias("n")), "copies")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    digest = fresh(docs, "_digest")
     marked = docs.withColumn(digest, digest_of(F.col("text")))
-    same = (F.col(digest) == F.col(f"{digest}_kept")) & F.col("doc_id").eqNullSafe(F.col(keep_id))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", digest]).drop(digest)
+
+    def among(found: DataFrame, count: int, how: str) -> DataFrame:
+        found = found.select(
+            F.col("digest").alias(f"{digest}_copy"), F.col("doc_id").alias(f"{digest}_id")
+        )
+        same = (F.col(digest) == F.col(f"{digest}_copy")) & F.col("doc_id").eqNullSafe(
+            F.col(f"{digest}_id")
+        )
+        return marked.join(F.broadcast(found) if count <= BROADCAST_COPIES else found, same, how)
+
+    twins = copies.where(stays & (F.col("n") > 1))
+    gone, several = copies.where(~stays).count(), twins.count()
+    if not several:
+        return among(copies.where(~stays), gone, "left_anti").drop(digest)
+    apart = copies.where(~stays).unionByName(twins)
+    ones = among(twins, several, "left_semi").dropDuplicates(["doc_id", digest])
+    return among(apart, gone + several, "left_anti").unionByName(ones).drop(digest)
 
 
 def _distinct(rows: DataFrame, shards: int) -> DataFrame:

@@ -45,6 +45,22 @@ def test_awkward_rows(awkward):
     assert kept.count() == len(groups)
 
 
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_kept_rows_and_all_their_columns(docs, monkeypatch, most):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_COPIES", most)
+    pairs = [(k, f"Text {k % 50}" if k % 3 else "hot TEXT") for k in range(600)]
+    pairs += [(599, "text 49"), (599, "text 49"), (None, "hot text"), (None, "alone"), (None, "Alone")]
+    df = docs(pairs).repartition(7)
+    last = {}
+    for doc_id, text in pairs:
+        key = text.lower()
+        last[key] = max(last.get(key, -1), -1 if doc_id is None else doc_id)
+    kept = exact_dedup.keep_first_copies(df).collect()
+    found = sorted((r.text.lower(), -1 if r.doc_id is None else r.doc_id) for r in kept)
+    assert found == sorted(last.items())
+    assert {r.lang for r in kept} == {"en"}
+
+
 def test_empty_table(docs):
     assert exact_dedup.dedup_rows(docs([])).count() == 0
     assert exact_dedup.keep_first_copies(docs([])).count() == 0
