@@ -64,7 +64,7 @@ def test_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact_dedup", "ngram_jaccard_join", "secret_scans", "best_fit_packing",
     ]
-    assert sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", catalog.ORACLE_SQL)
