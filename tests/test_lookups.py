@@ -188,6 +188,40 @@ def test_segments_hold_each_value_once_and_gather_no_lists(spark):
     assert found.where("v >= 2998.5").select("band.id").distinct().collect()[0].id == 1
 
 
+def test_work_above_the_cells_does_not_grow_with_the_bands(spark, monkeypatch):
+    """20,000 bands over 80 bounds, half of them open: the tree gets a band per run of cells."""
+    monkeypatch.setattr(segments, "CELL_BOUNDS", 8)
+    given, tree = [], segments._tree
+    monkeypatch.setattr(segments, "_tree", lambda bands, levels: given.append(bands.count()) or tree(bands, levels))
+    low = (F.col("id") * 7 % 40).cast("double")
+    card = spark.range(20_000).select(
+        "id",
+        F.when(F.col("id") % 4 == 0, F.lit(float("-inf"))).otherwise(low).alias("lo"),
+        F.when(F.col("id") % 4 == 1, F.lit(float("inf"))).otherwise(low + F.col("id") % 9 * 5 + 0.5).alias("hi"),
+    )
+    df = spark.range(200).select((F.col("id") / 2).alias("v"))
+    found = band_lookup(df, Card(card, Limits(literal_rows=0)), "v", "lo", "hi", ["id"], "band")
+    bands = sorted((r.hi, r.id, r.lo) for r in card.collect())
+    for row in found.collect():
+        first = next((k for hi, k, lo in bands if lo <= row.v <= hi), None)
+        assert (row.band and row.band.id) == first
+    assert given[0] <= 11 * 11
+
+
+def test_bands_up_to_nan_and_of_times(spark):
+    limits = Limits(literal_rows=0)
+    card = spark.sql("select 1D lo, double('nan') hi, 'a' label union all select double('nan'), double('nan'), 'b' union all select 2D, 3D, 'c'")
+    df = spark.sql("select explode(array(0D, 1D, 2D, 4D, double('inf'), double('nan'))) v")
+    found = band_lookup(df, Card(card, limits), "v", "lo", "hi", ["label"], "band")
+    assert [r.label for r in found.orderBy("v").select("band.label").collect()] == [None, "a", "c", "a", "a", "a"]
+    for kind in ("timestamp", "timestamp_ntz"):
+        card = spark.sql("select '2024-01-05 10:00' lo, '2024-01-09 10:00' hi, 'a' label union all select '2024-01-01', '2024-01-05 12:00', 'b'")
+        card = card.select(F.col("lo").cast(kind), F.col("hi").cast(kind), "label")
+        df = spark.sql("select explode(array('2024-01-05 11:00', '2024-01-05 13:00', '2024-02-01')) v").select(F.col("v").cast(kind))
+        found = band_lookup(df, Card(card, limits), "v", "lo", "hi", ["label"], "band")
+        assert [r.label for r in found.orderBy("v").select("band.label").collect()] == ["b", "a", None]
+
+
 def test_bands_of_dates_and_of_mixed_numbers(spark):
     limits = Limits(literal_rows=0)
     card = spark.sql("select date'2024-01-05' lo, date'2024-01-09' hi, 'a' label union all select date'2024-01-01', date'2024-01-05', 'b'")
