@@ -91,7 +91,8 @@ class Lookup:
     """One lookup of a card: a struct column ``name``, NULL on a miss.
 
     Either an expression over the working frame, or a side that is joined where ``meets`` holds,
-    of which each row of the frame meets at most one.
+    of which each row of the frame meets at most one. ``probe``: columns that ``meets`` compares,
+    computed once per row before the join.
     """
 
     name: str
@@ -99,6 +100,7 @@ class Lookup:
     side: DataFrame | None = None
     meets: Column | None = None
     small: bool = False
+    probe: Mapping[str, Column] | None = None
 
 
 def looked_up(
@@ -112,6 +114,8 @@ def looked_up(
     joined = df
     for lookup in lookups:
         if lookup.side is not None:
+            if lookup.probe:
+                joined = joined.withColumns(lookup.probe)
             side = F.broadcast(lookup.side) if lookup.small else lookup.side
             joined = joined.join(side, lookup.meets, "left")
     values = {lookup.name: lookup.value for lookup in lookups if lookup.value is not None}
@@ -217,11 +221,12 @@ def _segment(
         return Lookup(name, value=F.lit(None).cast(nothing))
     own = {c: name if c == "values" else f"__{name}_{c}" for c in found.rows.columns}
     rows = found.rows.select(*[F.col(c).alias(new) for c, new in own.items()])
-    meets = (found.cell(value) == rows[own["cell"]]) & inside(
+    probe = f"__{name}_of"
+    meets = (F.col(probe) == rows[own["cell"]]) & inside(
         value, *[rows[own[c]] for c in ("start", "start_open", "end", "end_open")]
     )
     small = found.count <= card.limits.broadcast_rows
-    return Lookup(name, side=rows, meets=meets, small=small)
+    return Lookup(name, side=rows, meets=meets, small=small, probe={probe: found.cell(value)})
 
 
 def pair_band_lookup(
