@@ -13,7 +13,9 @@ from haulrate.sources.shared import staged
 
 PARTS = ["title"] + [f"item{k}" for k in range(1, SLOTS + 1)]
 SEPARATOR = " / "
-GRAM = 3
+#: Letters of the gram that a keyword is filed under. Few keywords share so many, however many there
+#: are; a keyword that is no longer is its own gram, met by nothing but itself.
+GRAM = 8
 DIGEST = "__texts"
 
 FIELDS = ("keyword", "needle", "difficulty_idx", "fragile_idx")
@@ -66,44 +68,68 @@ def _grams(text: Column, size: int | Column) -> Column:
     )
 
 
-def anchors(parts: DataFrame, words: DataFrame, sizes: list[int]) -> DataFrame:
+def anchors(
+    parts: DataFrame, words: DataFrame, sizes: list[int], longest: int | None = None
+) -> DataFrame:
     """Each keyword under its rarest gram in the texts, with how far into the keyword that is.
 
-    A keyword of fewer than ``GRAM`` letters is its own only gram. Of equally rare grams the first
-    one is taken; one that no text has is as good as any, for then the keyword is in no text.
+    The largest of the sizes is that of a gram; a keyword of fewer letters is its own only gram. Of
+    equally rare grams the first one is taken; one that no text has is as good as any, for then the
+    keyword is in no text. ``longest``: letters of the longest keyword, if known; if none is longer
+    than a gram, nothing is counted.
     """
-    seen = _text_grams(parts.select("text"), sizes).groupBy("gram").agg(F.count("*").alias("seen"))
-    own = _grams(F.col("needle"), F.least(F.length("needle"), F.lit(GRAM)))
-    filed = words.select("*", F.explode(own).alias("own"))
+    size, word = max(sizes), F.struct(*words.columns).alias("word")
+    short = words.where(F.length("needle") <= size).select(
+        F.col("needle").alias("gram"), F.lit(0).alias("into"), word
+    )
+    if longest is not None and longest <= size:
+        return short
+    seen = _text_grams(parts.select("text"), [size]).groupBy("gram").agg(F.count("*").alias("seen"))
+    own = _grams(F.col("needle"), size)
+    filed = words.where(F.length("needle") > size).select("*", F.explode(own).alias("own"))
     filed = filed.select(*words.columns, "own.gram", (F.col("own.at") - 1).alias("into"))
     counted = filed.join(seen, "gram", "left")
     rarest = F.min(F.struct(F.coalesce("seen", F.lit(0)), "into", "gram")).alias("anchor")
     found = counted.groupBy(*words.columns).agg(rarest)
-    return found.select("anchor.gram", "anchor.into", F.struct(*words.columns).alias("word"))
+    return short.unionByName(found.select("anchor.gram", "anchor.into", word))
 
 
 def _text_grams(texts: DataFrame, sizes: list[int]) -> DataFrame:
     """The rows of ``texts`` with every gram of their text, of each of the sizes."""
-    every = F.concat(*[_grams(F.col("text"), size) for size in sizes])
+    none = F.array().cast("array<struct<at:int,gram:string>>")
+    text = F.col("text")
+    every = F.concat(
+        *[F.when(F.length(text) >= size, _grams(text, size)).otherwise(none) for size in sizes]
+    )
     exploded = texts.select("*", F.explode(every).alias("found"))
     return exploded.select(*texts.columns, "found.at", "found.gram")
 
 
+def _runs(text: Column, words: DataFrame) -> Column:
+    """The longest stretches of a text, as an array, of letters that some keyword has: a keyword
+    stands within one of them or not at all."""
+    letters = words.select(F.explode(F.split("needle", "")).alias("letter")).distinct().collect()
+    known = "".join(f"\\x{{{ord(c):x}}}" for c in sorted({c for row in letters for c in row.letter}))
+    return F.split(text, f"(?s)[^{known}]+")
+
+
 def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
     """Add the keywords of every part, as array ``hits`` in the order of PARTS.
 
     For a keyword list of any size: texts and keywords meet by equality of a gram, the keyword's
-    rarest, and are compared at the one place where the keyword would have to stand. Shipments with
+    rarest, and are compared at the one place where the keyword would have to stand. A keyword no
+    longer than a gram is met whole, so its hits are all that the join gives. Shipments with
     the same texts have the same hits, so what meets the keywords is each different set of texts
     once, written once, and its hits come back to every shipment by the digest of the texts: the
     shipment's own id, which may be missing or repeated, plays no part. Within a part the keywords
     stand in the order of the literal list, as often as the list has them.
     """
     texts = list(_texts().values())
-    digest = F.sha2(F.to_json(F.struct(F.array(*texts).alias("texts"))), 256)
+    digest = F.unhex(F.sha2(F.to_json(F.struct(F.array(*texts).alias("texts"))), 256))
     every = F.array(*[F.struct(text.alias("text")) for text in texts])
     parts = df.select(digest.alias(DIGEST), F.posexplode(every).alias("part", "held"))
-    parts = parts.select(DIGEST, "part", F.col("held.text").alias("text")).dropna().distinct()
+    runs = F.explode(_runs(F.col("held.text"), words.df)).alias("text")
+    parts = parts.select(DIGEST, "part", runs).where(F.length("text") > 0).distinct()
     parts = staged(parts, "texts")
 
     listed = words.df.groupBy("id", *FIELDS).agg(F.count("*").cast("int").alias("times"))
@@ -111,18 +137,25 @@ def _joined_hits(df: DataFrame, words: Card) -> DataFrame:
         F.collect_set(F.least(F.length("needle"), F.lit(GRAM))), F.max(F.length("needle"))
     )
     sizes, longest = lengths.first()
-    # A gram carries the letters around it, as many as a keyword can reach, not the whole text.
+    sizes = sorted(sizes)
+    # A gram carries the letters around it, as many as a longer keyword can reach, not the whole text.
     before = F.least(F.col("at") - 1, F.lit(longest))
     around = F.substring("text", F.col("at") - before, before + longest)
-    probes = _text_grams(parts, sorted(sizes)).select(
-        DIGEST, "part", "gram", before.alias("before"), around.alias("around")
+    long = (F.length("gram") == GRAM) if longest > GRAM else F.lit(False)
+    probes = _text_grams(parts, sizes).select(
+        DIGEST,
+        "part",
+        "gram",
+        F.when(long, before).alias("before"),
+        F.when(long, around).alias("around"),
     )
-    filed = anchors(parts, listed, sorted(sizes))
+    filed = anchors(parts, listed, sizes, longest)
     met = join_side(probes, filed, {"gram": probes["gram"]}, small=words.small, how="inner")
     start = F.col("before") - F.col("into")
-    stands = F.substring("around", start + 1, F.length("word.needle")) == F.col("word.needle")
+    whole = F.length("word.needle") <= GRAM
+    found = F.substring("around", start + 1, F.length("word.needle")) == F.col("word.needle")
     in_order = F.sort_array(F.collect_set(F.struct("part", "word"))).alias("met")
-    met = met.where((start >= 0) & stands).groupBy(DIGEST).agg(in_order)
+    met = met.where(whole | (start >= 0) & found).groupBy(DIGEST).agg(in_order)
     joined = join_side(df, met, {DIGEST: digest}, small=False)
 
     def of_part(k: int) -> Column:

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from haulrate import Limits
 from haulrate.operators import keywords
 from haulrate.operators.keywords import difficulty_index, keyword_indexes
 from haulrate.sources.cards import Card
@@ -138,3 +139,43 @@ def test_a_keyword_is_filed_under_its_rarest_gram(spark):
     listed = spark.createDataFrame([("abcxyz",), ("ab",), ("zzzz",)], "needle string")
     filed = {r.word.needle: (r.gram, r.into) for r in keywords.anchors(parts, listed, [2, 3]).collect()}
     assert filed == {"abcxyz": ("bcx", 1), "ab": ("ab", 0), "zzzz": ("zzz", 0)}
+
+
+def test_many_keywords_of_few_letters_meet_only_where_they_stand(spark, monkeypatch):
+    """Numbers as keywords share all their short grams; a text meets those that it has, no others."""
+    met, join = [], keywords.join_side
+
+    def counted(df, side, on, **how):
+        joined = join(df, side, on, **how)
+        if "gram" in on:
+            met.append(joined.count())
+        return joined
+
+    monkeypatch.setattr(keywords, "join_side", counted)
+    listed = spark.range(1000, 9000).select(
+        "id", F.col("id").cast("string").alias("keyword"),
+        F.lit(1.0).alias("difficulty_idx"), F.lit(0.0).alias("fragile_idx"),
+    )
+    card = Card(listed, Limits(broadcast_rows=0, keyword_rows=0))
+    df = shipments(spark, [(k, f"size {k}{k + 1}", [None], 1) for k in range(2000, 2050)])
+    found = keyword_indexes(df, card, passes=1).collect()
+    for row in found:
+        digits = f"{row.packagematchid}{row.packagematchid + 1}"
+        numbers = sorted({int(digits[k : k + 4]) for k in range(5)})
+        assert row.titlekeyword == " / ".join(str(n) for n in numbers if 1000 <= n < 9000)
+    assert met[0] <= 50 * 5
+
+
+def test_long_keywords_between_letters_that_no_keyword_has(spark):
+    listed = [
+        (1, "wing chair", 1.0, 0.0), (2, "wing chair with arms", 2.0, 0.0), (3, "armchair", 3.0, 0.0),
+        (4, "arm", 4.0, 0.0), (5, "chair w", 5.0, 0.0), (6, "[c]", 6.0, 0.0), (7, "\U0001f6cb", 7.0, 0.0),
+    ]
+    card = words(spark, Limits(broadcast_rows=0, keyword_rows=0), *listed)
+    titles = ["Zwing chair with armsZ", "owing chairs", "armchair\nwing Xchair", "a[c]\U0001f6cb!", "wing", "XYZ"]
+    df = shipments(spark, [(k, title, [None], 1) for k, title in enumerate(titles)])
+    found = {r.title: r.titlekeyword for r in keyword_indexes(df, card, passes=1).collect()}
+    assert [found[title] for title in titles] == [
+        "wing chair / wing chair with arms / arm / chair w", "wing chair", "armchair / arm",
+        "[c] / \U0001f6cb", None, None,
+    ]
