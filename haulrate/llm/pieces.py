@@ -8,7 +8,8 @@ no piece leads on. Characters without a piece become their UTF-8 bytes.
 
 No piece of the vocabulary has a space mark after another character, nor a character that only
 stands alone, so a text is cut there into units that are encoded on their own; what a unit encodes
-to is remembered up to a fixed number of units. A vocabulary without such cuts is encoded whole.
+to is remembered up to a fixed number of units, by a Python worker for its later tasks too. A
+vocabulary without such cuts is encoded whole.
 
 Defined cases: a null text is empty; an empty text has no ids and decodes to nothing. Very long
 texts and units are encoded whole. Repeated rows give equal results; other columns are not read;
@@ -26,7 +27,7 @@ import ahocorasick
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from haulrate.llm.common import filled, map_texts
+from haulrate.llm.common import filled, map_texts, once_per_process
 
 SPACE = "▁"
 REMEMBERED_UNITS = 200_000
@@ -110,6 +111,8 @@ class Encoder:
     def encode(self, text: str) -> list[str]:
         """The pieces of a text; a character without a piece stands for itself."""
         size = len(text)
+        if size == 1 or text in self._usable:
+            return [text]
         longest = [1] * size
         for end, length in self._automaton.iter(text):
             if length > longest[end + 1 - length]:
@@ -260,13 +263,20 @@ def unit_codec(vocabulary: Vocabulary, usable: list[str]) -> Callable:
     return units
 
 
+def kept_codec(vocabulary: Vocabulary, usable: list[str]) -> Callable:
+    """The ``unit_codec`` that a Python worker keeps for its later tasks, with what it remembers."""
+    named = repr((vocabulary.pieces, vocabulary.rank, vocabulary.bytes, sorted(vocabulary.silent)))
+    key = hashlib.sha256(named.encode()).hexdigest()
+    return once_per_process(("pieces", key), lambda: unit_codec(vocabulary, usable))
+
+
 def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
     """Per row: the number of ids, the digest of the ids, and the digest of their text."""
     vocabulary = read_vocabulary(model_path)
     usable = reachable(vocabulary.rank)
 
     def make():
-        by_unit = unit_codec(vocabulary, usable)
+        by_unit = kept_codec(vocabulary, usable)
 
         def step(texts):
             out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}

@@ -54,3 +54,14 @@ def test_table(spark, sf_dir, awkward):
 def test_refuses_other_models(tmp_path):
     with pytest.raises(Exception):
         pieces.read_vocabulary(str(tmp_path / "none.model"))
+
+
+def test_a_worker_keeps_what_it_remembers_for_later_tasks():
+    """One codec per vocabulary and process; another vocabulary gets its own."""
+    vocabulary = pieces.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    usable = pieces.reachable(vocabulary.rank)
+    kept = pieces.kept_codec(vocabulary, usable)
+    again = pieces.Vocabulary(vocabulary.pieces, dict(vocabulary.rank), vocabulary.bytes, vocabulary.silent)
+    assert pieces.kept_codec(again, list(usable)) is kept
+    other = pieces.Vocabulary(vocabulary.pieces, vocabulary.rank, vocabulary.bytes, frozenset())
+    assert pieces.kept_codec(other, usable) is not kept
