@@ -97,6 +97,59 @@ def test_awkward_rows(spark):
     assert hard_negatives.mine(df.limit(0)).count() == 0
 
 
+def test_groups_slices_and_short_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [
+        (10 * k, [rng.choice([-3.5, 0.25, 0.5, 1.0, 300.0]) for _ in range(2 + k % 2)], rng.randrange(4))
+        for k in range(-40, 260)
+    ]
+    df, expected = spark.createDataFrame(rows, SCHEMA).repartition(3), brute_force(rows)
+    monkeypatch.setattr(hard_negatives, "NUMBERS_IN_BLOCK", 40)
+    assert found(df, anchors_in_block=4, anchors_held=13) == expected
+    monkeypatch.setattr(hard_negatives, "NUMBERS_HELD", 50)
+    assert found(df, rows_in_block=11, anchors_in_block=4) == expected
+
+
+def test_what_tasks_hold_and_send_does_not_grow_with_blocks(spark, monkeypatch):
+    """Joined blocks stood beside each other in memory, and each of them sent its own pairs."""
+    rng = random.Random(3)
+    rows = [(k, [rng.uniform(0.2, 1.0) for _ in range(4)], k % 2) for k in range(1200)]
+    seen, deal = [], hard_negatives._sorted_by_anchor
+
+    def sent(pairs, partitions):
+        plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+        seen.append((pairs.count(), "Join Inner, ((dim" in plan))
+        return deal(pairs, partitions)
+
+    monkeypatch.setattr(hard_negatives, "_sorted_by_anchor", sent)
+    assert found(spark.createDataFrame(rows, SCHEMA), rows_in_block=16, anchors_in_block=4) == brute_force(rows)
+    anchors, slices = 24, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert not any(joined for _, joined in seen)
+    assert seen[0][0] <= anchors * slices * 5
+    assert seen[1][0] <= anchors * 5 + anchors * slices * 15
+
+
+def test_pairs_are_thinned_to_the_best():
+    rng = np.random.default_rng(5)
+    for kind in ("f4", "f8", "i8"):
+        scores = rng.integers(-3, 4, (30, 200)).astype(kind)
+        among = rng.random(scores.shape) < rng.choice([0.0, 0.02, 0.9], (30, 1))
+        lines, at = hard_negatives._thinned(scores, among, 3)
+        assert among[lines, at].all() and len(lines) < among.sum()
+        kept = hard_negatives._Best(30, 3)
+        kept.add([(lines, scores[lines, at].astype("i8"), at)])
+        best = sorted((k, -int(scores[k, j]), j) for k, j in zip(*np.nonzero(among)))
+        best = [x for n, x in enumerate(best) if n < 3 or best[n - 3][0] != x[0]]
+        assert [(k, -s, j) for k, s, j in zip(kept.slots, kept.scores, kept.ids)] == best
+
+
+def test_packed_keys_are_those_of_single_pairs():
+    numbers = np.array([-(2**63), -51, 0, 7, 2**63 - 1])
+    packed = hard_negatives.pack_keys(numbers, numbers[::-1].copy(), 1, np.roll(numbers, 2))
+    single = zip(numbers.tolist(), numbers[::-1].tolist(), np.roll(numbers, 2).tolist())
+    assert packed.to_pylist() == [hard_negatives.pack_key(a, s, 1, r) for a, s, r in single]
+
+
 def test_anchors_do_not_mix():
     stream = defaultdict(list)
     for anchor in (0, 50):
