@@ -54,6 +54,7 @@ ROWS_IN_BLOCK = 4096
 ANCHORS_IN_BLOCK = 1024
 #: Numbers of a block, which long vectors reach before its rows.
 NUMBERS_IN_BLOCK = 1 << 20
+BLOCKS_IN_FILE = 8
 #: Anchors that a task holds at once, and their numbers.
 ANCHORS_HELD = 1 << 17
 NUMBERS_HELD = 1 << 24
@@ -456,7 +457,8 @@ def mine(
     """For each anchor and positive its first hard negatives, with their scores."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = staged(_blocks(prepared(rows), rows_in_block, SCALE), "row-blocks")
+    blocks = _blocks(prepared(rows), rows_in_block, SCALE)
+    blocks = staged(blocks, "row-blocks", BLOCKS_IN_FILE)
     count, groups, slices = _grid(blocks, parts, anchors_held)
     anchors = _anchors(blocks)
     many = max(1, math.ceil(count / anchors_in_block))

@@ -31,13 +31,15 @@ def remove_staged(spark: SparkSession, path: str) -> None:
     file_system(spark, path).delete(hadoop_path(spark, path), True)
 
 
-def staged(df: DataFrame, purpose: str = "stage") -> DataFrame:
+def staged(df: DataFrame, purpose: str = "stage", rows_in_file: int = 0) -> DataFrame:
     """The rows written once to the shared folder, for a frame that is read several times.
 
-    Unlike a cache it survives lost executors, and the plan behind it is not repeated.
+    Unlike a cache it survives lost executors, and the plan behind it is not repeated. Very large
+    rows ask for few in a file (0: no limit), as readers take thousands of a file's rows at once.
     """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    writer = df.write.option("maxRecordsPerFile", rows_in_file) if rows_in_file else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

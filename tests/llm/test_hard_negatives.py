@@ -129,6 +129,22 @@ def test_what_tasks_hold_and_send_does_not_grow_with_blocks(spark, monkeypatch):
     assert seen[1][0] <= anchors * 5 + anchors * slices * 15
 
 
+def test_files_hold_few_blocks(spark, monkeypatch):
+    """A reader takes all blocks of a file at once."""
+    files, staged = [], hard_negatives.staged
+
+    def counted(df, purpose, *how):
+        out = staged(df, purpose, *how)
+        if purpose == "row-blocks":
+            files.extend(out.groupBy(F.input_file_name()).count().collect())
+        return out
+
+    monkeypatch.setattr(hard_negatives, "staged", counted)
+    rows = [(k, [1.0, k / 900], k % 3) for k in range(900)]
+    assert found(spark.createDataFrame(rows, SCHEMA).coalesce(1), rows_in_block=4) == brute_force(rows)
+    assert sum(n for _, n in files) >= 900 // 4 and max(n for _, n in files) <= 8
+
+
 def test_pairs_are_thinned_to_the_best():
     rng = np.random.default_rng(5)
     for kind in ("f4", "f8", "i8"):
